@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.functions.classes import WS
+from folioforge.runtime import cut
 
 #: Scripts by which a language is told, in order; the first with enough letters counts.
 SCRIPTS = {
@@ -23,7 +23,7 @@ SCRIPTS = {
 COMMON = {
     "en": "the any each some every another its their this that of in by with under and for will would could should may might must can to from",
     "de": "der die das den dem des und ist im am bei um für ohne laut nach seit von bzw über",
-    "fr": "le la les des du une est et pour sur avec sous depuis d'après en au par sans chaque",
+    "fr": "le la les des du une est et pour sur avec sous depuis après en au par sans chaque",
     "es": "el la los las del una para con por sin según desde bajo hasta en al",
     "it": "il lo gli della delle un una per con senza secondo dal nel",
     "pt": "os as do da dos uma para com sem segundo desde até em ao",
@@ -52,43 +52,44 @@ def _among(words: list[str]):
     return lambda w: w.isin(words)
 
 
-def _common_words(text: Column) -> Column:
-    """The words of a text that are frequent in some language, in lower case."""
-    every = sorted({w for words in COMMON.values() for w in words.split()})
-    return F.filter(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}'’]+"), F.lit(0)), _among(every))
+_BLANKS = " \n\t\r\u00a0\u3000\u2007\u2009\u202f"
 
 
 def text_figures(df: DataFrame, id_col: str = "extract_id", text_col: str = "text") -> DataFrame:
     """``(<id_col>, language, <figures>)`` of every row; null texts count as empty.
 
     The language comes from the script, then from frequent words; it is null
-    if neither decides.  Each pass over the text is made once and shared.
+    if neither decides.  The words are cut out once and shared by the figures.
     """
+    every = sorted({w for words in COMMON.values() for w in words.split()})
     d = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     d = d.select(
         "_id", "_text",
-        F.regexp_replace("_text", f"{WS}+", "").alias("_solid"),
-        F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(r"[^\s\p{Z}]")).alias("_lines"),
-        _common_words(F.col("_text")).alias("_common"),
+        F.regexp_extract_all(F.lower("_text"), F.lit(r"[\p{L}\p{N}\p{M}]+"), F.lit(0)).alias("_words"),
+        F.filter(F.split("_text", "\n", -1), lambda x: F.trim(x) != "").alias("_lines"),
+        F.length(F.translate("_text", _BLANKS, "")).alias("_n"),
     )
     d = d.select(
-        "_id", "_text", "_solid", "_common",
-        F.transform("_lines", lambda x: F.regexp_replace(x, f"{WS}+$", "")).alias("_lines"),
-        F.greatest(F.length("_solid"), F.lit(1)).cast("double").alias("_chars"),
+        "_id", "_text", "_n", F.array_join("_words", "").alias("_joined"),
+        F.filter("_words", _among(every)).alias("_common"),
+        F.transform("_lines", F.rtrim).alias("_lines"),
+        F.greatest("_n", F.lit(1)).cast("double").alias("_chars"),
         F.greatest(F.size("_lines"), F.lit(1)).cast("double").alias("lines"),
-        F.regexp_count("_text", F.lit(r"[\p{L}\p{N}]+")).cast("double").alias("words"),
-        F.length(F.regexp_replace("_solid", r"[\p{L}\p{N}\p{M}]+", "")).alias("_symbols"),
-        F.regexp_replace("_solid", r"[\p{IsLatin}\P{L}]+", "").alias("_foreign"),
+        F.size("_words").cast("double").alias("words"),
+    )
+    ascii_only = F.octet_length("_text") == F.length("_text")
+    d = d.select(
+        "*", F.greatest(F.col("_n") - F.length("_joined"), F.lit(0)).alias("_symbols"),
+        F.when(ascii_only, F.lit("")).otherwise(F.regexp_replace("_joined", r"[\p{IsLatin}\p{N}]+", "")).alias("_foreign"),
     )
-    letters = F.length("_solid") - F.col("_symbols")
+    letters = F.length("_joined")
     script = F.lit(None).cast("string")
     for code, pattern in reversed(SCRIPTS.items()):
         n = F.length("_foreign") - F.length(F.regexp_replace("_foreign", pattern, ""))
         script = F.when(n >= F.length("_foreign") * (0.1 if code == "ja" else 0.5), F.lit(code)).otherwise(script)
-    latin, best = F.lit(None).cast("string"), F.lit(1)
-    for code, words in COMMON.items():
-        n = F.size(F.filter("_common", _among(words.split())))
-        latin, best = F.when(n > best, F.lit(code)).otherwise(latin), F.greatest(n, best)
+    d = d.withColumn("_counts", F.array(*(F.size(F.filter("_common", _among(words.split()))) for words in COMMON.values())))
+    most = F.array_max("_counts")
+    latin = F.when(most > 1, F.get(F.array(*(F.lit(c) for c in COMMON)), (F.array_position("_counts", most) - 1).cast("int")))
     d = d.withColumn("language", F.when((F.length("_foreign") >= 8) & (F.length("_foreign") >= letters * 0.2), script).otherwise(latin))
 
     def share(holds) -> Column:
@@ -102,16 +103,14 @@ def text_figures(df: DataFrame, id_col: str = "extract_id", text_col: str = "tex
         some = F.contains(x, F.lit("|")) | F.contains(x, F.lit("\t")) | F.contains(x, F.lit("   "))
         return some & x.rlike(r"\S\s*\|\s*\S|\S\t+\S|\S {3,}\S")
 
-    between = F.lit(0)
-    for mark in ("; ", " • ", " ▪ ", " · ", " / ", " | ", " - "):
-        between = between + (F.length("_text") - F.length(F.replace("_text", F.lit(mark), F.lit("")))) / len(mark)
+    between = F.regexp_count("_text", F.lit(r"[;•▪·/|\-] "))
     natural = F.regexp_extract_all("_text", F.lit(_NATURAL), F.lit(0))
     words = F.greatest("words", F.lit(1.0))
     return d.select(
         F.col("_id").alias(id_col), "language", F.length("_text").cast("double").alias("chars"), "lines", "words",
         (letters / words).alias("mean_word_length"),
         (F.col("_symbols") / F.col("_chars")).alias("symbol_ratio"),
-        (F.length(F.regexp_replace("_solid", r"[^\p{N}]+", "")) / F.col("_chars")).alias("digit_ratio"),
+        ((F.length("_joined") - F.length(F.translate("_joined", "0123456789", ""))) / F.col("_chars")).alias("digit_ratio"),
         (F.length(F.array_join(natural, "")) / F.col("_chars")).alias("natural_ratio"),
         share(ended).alias("end_ratio"),
         F.coalesce(ended(F.try_element_at("_lines", F.lit(-1))), F.lit(False)).cast("double").alias("ends"),
@@ -166,7 +165,7 @@ def text_kinds(
     The sketches have one row for each of the languages named in this module,
     which bounds what is broadcast.
     """
-    figs = text_figures(df, id_col, text_col)
+    figs = cut(text_figures(df, id_col, text_col))  # numbers only; each text is read once
     s = sketches(figs, min_chars)
     own = s.where((F.col("_lang") != "*") & (F.col("_rows") >= min_rows)).drop("_rows")
     pooled = s.where(F.col("_lang") == "*").select(*(F.col(f"_{k}").alias(f"_all_{k}") for k in FLOORS))
