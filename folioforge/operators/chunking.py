@@ -119,7 +119,8 @@ def chunk_texts(
     d = d.select(*id_cols, content_lines(F.col("_text")).alias("_lines"))
     d = d.select(*id_cols, pieces_of_lines(F.col("_lines"), sentences).alias("_pieces"))
     d = d.select(*id_cols, F.filter(packed(F.col("_pieces"), size), lambda c: F.length(stripped(c)) > SMALLEST).alias("_chunks"))
-    d = d.select(*id_cols, F.posexplode("_chunks").alias("chunk_no", "_chunk"))
+    # the outer form: an inner one would add a test of the array's size, evaluated by inlining all steps above
+    d = d.select(*id_cols, F.posexplode_outer("_chunks").alias("chunk_no", "_chunk")).where(F.col("_chunk").isNotNull())
     return d.select(*id_cols, "chunk_no", _gaps_closed("_chunk").alias("chunk"))
 
 
