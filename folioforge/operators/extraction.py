@@ -119,10 +119,13 @@ def mentions(texts: DataFrame, names: DataFrame, id_cols: list[str], text_col: s
     several = F.col("_low").rlike(rf"{word}[^\p{{L}}\p{{N}}]")
     n = n.select("name", "_low", F.when(several, F.concat(F.lit("end "), F.right(first, F.lit(_KEY)))).otherwise(F.concat(F.lit("in "), F.left(first, F.lit(3)))).alias("_key"))
     t = texts.select(*id_cols, F.lower(text_or_empty(F.col(text_col))).alias("_text"))
+    single = bool(n.where(F.startswith("_key", F.lit("in "))).limit(1).count())
 
     def keys(w: Column) -> Column:
         every = F.sequence(F.lit(1), F.length(w))
         tails = F.transform(F.filter(every, lambda i: i > F.length(w) - _KEY), lambda i: F.concat(F.lit("end "), F.substring(w, i, F.length(w))))
+        if not single:
+            return tails
         parts = F.transform(every, _pieces(w, 3))
         # names of one word may be shorter than three characters
         shorter = (F.transform(every, _pieces(w, k)) for k in (1, 2))

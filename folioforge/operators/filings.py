@@ -145,7 +145,7 @@ def bodies(filings: DataFrame, files: DataFrame, doc_type: str, file_types: list
 
 
 def shown(cik: Column, accession: Column, documents: Column) -> Column:
-    return F.format_string("filing %s/%s: %d documents", cik, accession, F.size(documents))
+    return F.format_string("filing %s/%s: %d documents", F.coalesce(cik, F.lit("null")), F.coalesce(accession, F.lit("null")), F.coalesce(F.size(documents), F.lit(0)))
 
 
 def interesting(catalog: DataFrame, ciks: DataFrame, cik_col: str = "cik") -> DataFrame:

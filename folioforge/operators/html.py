@@ -236,7 +236,10 @@ def html_text(page: str | None) -> str:
             todo.append("</pre>")
         todo.extend(reversed(n.children))
     text = "".join(out)
-    text = re.sub(r"[ \t]*\n[ \t]*", "\n", text) if "<pre" not in page else re.sub(r"[ \t]+\n", "\n", text)
+    if "<pre" in page:
+        text = re.sub(r"[ \t]+\n", "\n", text)
+    else:
+        text = re.sub(r"[ \t]*\n[ \t]*", "\n", re.sub(r"[ \t]{2,}", " ", text))
     return re.sub(r"\n{3,}", "\n\n", text).strip()
 
 

@@ -351,7 +351,7 @@ def catalog_summary(spark: SparkSession, d: str) -> DataFrame:
     return c.groupBy("form_type", "year").agg(F.count(F.lit(1)).alias("filings"), F.countDistinct("cik").alias("ciks"))
 
 
-@query("SELECT chunked_id, 'filing ' || coalesce(cik, 'null') || '/' || coalesce(accession_number, 'null') || ': ' || coalesce(len(html_pages), -1) || ' documents' AS shown FROM chunked_document")
+@query("SELECT chunked_id, 'filing ' || coalesce(cik, 'null') || '/' || coalesce(accession_number, 'null') || ': ' || coalesce(len(html_pages), 0) || ' documents' AS shown FROM chunked_document")
 def filing_labels(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "chunked_document").select("chunked_id", shown(F.col("cik"), F.col("accession_number"), F.col("html_pages")).alias("shown"))
 
