@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioforge.functions.classes import WORD, WS
+from folioforge.functions.classes import BLANKS, WORD, WS
 
 
 def text_or_empty(c: Column) -> Column:
@@ -23,7 +23,7 @@ def text_or_empty(c: Column) -> Column:
 
 def stripped(c: Column) -> Column:
     """Without white space at either end, all Unicode blanks counted."""
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def normal_name(c: Column) -> Column:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioforge.functions.classes import WS
 from folioforge.functions.text import sentences_of, stripped, text_or_empty
@@ -104,21 +106,62 @@ def _pieces(w: Column, k: int):
 _KEY = 64
 
 
-def mentions(texts: DataFrame, names: DataFrame, id_cols: list[str], text_col: str, name_col: str = "name") -> DataFrame:
-    """``(<id_cols>, name)``: names that texts hold, for name lists too long for a literal.
+#: Names that one automaton on every worker may hold.
+MOST_NAMES = 200_000
 
-    Joined by key, not all against all: where a name of several words stands,
-    a word of the text ends with its first word; where a name of one word
-    stands, a word holds its first three characters.  The whole name is then
-    looked for.  Null and empty names and texts have no mentions.
+
+def mentions(texts: DataFrame, names: DataFrame, id_cols: list[str], text_col: str, name_col: str = "name", most_names: int = MOST_NAMES) -> DataFrame:
+    """``(<id_cols>, name)``: names that texts hold in any letter case, for name lists too long for a literal.
+
+    A list that a count shows to be small goes to the workers as one search
+    automaton, and texts are scanned where they are read.  A longer one is
+    joined by key.  Null and empty names and texts have no mentions; rows come
+    out once for each distinct ``id_cols`` and name.
     """
-    word = r"[\p{L}\p{N}]+"
     low = F.lower(F.col(name_col))
     n = names.select(F.col(name_col).alias("name"), low.alias("_low")).where(F.col("_low") != "").distinct()
+    t = texts.select(*id_cols, F.lower(text_or_empty(F.col(text_col))).alias("_text"))
+    try:
+        import ahocorasick  # noqa: F401
+    except ImportError:
+        return _mentions_by_key(t, n, id_cols)
+    if n.count() > most_names:
+        return _mentions_by_key(t, n, id_cols)
+    shared = texts.sparkSession.sparkContext.broadcast([(r["_low"], r["name"]) for r in n.collect()])
+    schema = T.StructType([*t.select(*id_cols).schema.fields, T.StructField("name", T.StringType())])
+    width = len(id_cols)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        spellings: dict[str, list[str]] = {}
+        for key, name in shared.value:
+            spellings.setdefault(key, []).append(name)
+        auto = ahocorasick.Automaton()
+        for key, own in spellings.items():
+            auto.add_word(key, own)
+        auto.make_automaton()
+        for batch in batches:
+            at, found = [], []
+            for k, text in enumerate(batch.column(width).to_pylist()):
+                for name in {name for _, own in auto.iter(text) for name in own} if text and spellings else ():
+                    at.append(k)
+                    found.append(name)
+            take = pa.array(at, pa.int32())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in range(width)), pa.array(found, pa.string())], names=schema.names)
+
+    return t.mapInArrow(run, schema).distinct()
+
+
+def _mentions_by_key(t: DataFrame, n: DataFrame, id_cols: list[str]) -> DataFrame:
+    """``mentions`` by an equi-join: where a name of several words stands, a word
+    of the text ends with its first word; where a name of one word stands, a
+    word holds its first three characters.  The whole name is then looked for.
+    """
+    word = r"[\p{L}\p{N}]+"
     first = F.regexp_extract("_low", word, 0)
     several = F.col("_low").rlike(rf"{word}[^\p{{L}}\p{{N}}]")
     n = n.select("name", "_low", F.when(several, F.concat(F.lit("end "), F.right(first, F.lit(_KEY)))).otherwise(F.concat(F.lit("in "), F.left(first, F.lit(3)))).alias("_key"))
-    t = texts.select(*id_cols, F.lower(text_or_empty(F.col(text_col))).alias("_text"))
     single = bool(n.where(F.startswith("_key", F.lit("in "))).limit(1).count())
 
     def keys(w: Column) -> Column:

@@ -329,8 +329,11 @@ def test_extractor_and_mentions(spark):
     assert [(r.sentence_index, r.entity_names_found) for r in got] == [(0, ["Alpha Fund"]), (1, ["Beta"]), (-1, ["Beta"])] or {(r.sentence_index, tuple(r.entity_names_found)) for r in got} >= {(0, ("Alpha Fund",)), (-1, ("Beta",))}
     names = ["Alpha Fund", "alpha", "BETA", "pays income", "x", "fund pays", "(Alpha", None, "", "und p"]
     texts = spark.createDataFrame([(1, chunk), (2, None), (3, "preAlpha Fundamental; ALPHABET")], "id int, text string")
-    found = {(r.id, r.name) for r in extraction.mentions(texts, spark.createDataFrame([(n,) for n in names], "name string"), ["id"], "text").collect()}
-    assert found == {(i, n) for i, t in ((1, chunk), (3, "preAlpha Fundamental; ALPHABET")) for n in names if n and n.lower() in t.lower()}
+    want = {(i, n) for i, t in ((1, chunk), (3, "preAlpha Fundamental; ALPHABET")) for n in names if n and n.lower() in t.lower()}
+    listed = spark.createDataFrame([(n,) for n in names], "name string")
+    for most in (0, 1000):
+        assert {(r.id, r.name) for r in extraction.mentions(texts, listed, ["id"], "text", most_names=most).collect()} == want
+    assert extraction.mentions(texts, listed.limit(0), ["id"], "text").count() == 0
 
 
 # ---- sources and streams
