@@ -93,6 +93,19 @@ def _sliding(f, x: np.ndarray, width: int) -> np.ndarray:
         part = f(part[: len(part) - step // 2], part[step // 2:])
 
 
+def _least(gears: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """The mixed gear hashes of whole gear widths, and the least one of each window."""
+    h = _mix(gear_hash(gears))[GEAR - 1:]
+    return h, _sliding(np.minimum, h, span - GEAR + 1)
+
+
+def border_digests(gears: np.ndarray, span: int) -> np.ndarray:
+    """The distinct digests of a text's borders: the least hashes of its windows."""
+    if len(gears) < span:
+        return np.zeros(0, np.uint64)
+    return np.unique(_least(gears, span)[1])
+
+
 def borders(gears: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Borders of one text: (index of the last character each digest covers, digest,
     first window, window after the last), over windows of ``span`` characters;
@@ -101,8 +114,7 @@ def borders(gears: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.nd
     if n <= 0:
         return (np.zeros(0, np.int64),) * 4
     width = span - GEAR + 1
-    h = _mix(gear_hash(gears))[GEAR - 1:]
-    least = _sliding(np.minimum, h, width)  # of the windows that start at each place
+    h, least = _least(gears, span)
     last = len(h)
     # the first place of each least value: where it changes, or where the old one left the window
     at = np.zeros(n, np.int64)
@@ -135,8 +147,7 @@ def _border_rows(rows: DataFrame, doc_type: T.DataType, span: int) -> DataFrame:
         for batch in batches:
             at, digests = [], []
             for k, text in enumerate(batch.column(1).to_pylist()):
-                _, d, _, _ = borders(_gears(codes_of(text)), span)
-                d = np.unique(d)
+                d = border_digests(_gears(codes_of(text)), span)
                 at.append(np.full(len(d), k, np.int32))
                 digests.append(d)
             if at:
