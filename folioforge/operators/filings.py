@@ -150,5 +150,5 @@ def shown(cik: Column, accession: Column, documents: Column) -> Column:
 
 def interesting(catalog: DataFrame, ciks: DataFrame, cik_col: str = "cik") -> DataFrame:
     """Catalogue rows whose cik is in the list; padding zeros and null ciks do not match."""
-    wanted = ciks.select(F.col("cik").cast("string").alias(cik_col)).distinct()
+    wanted = ciks.select(F.col("cik").cast("string").alias(cik_col))
     return catalog.join(wanted, cik_col, "left_semi")

@@ -25,17 +25,20 @@ def _grams(norm: Column, k: int) -> Column:
 
 def name_pairs(
     predicted: DataFrame, expected: DataFrame, predicted_col: str = "predicted", expected_col: str = "expected",
-    threshold: float = THRESHOLD, keep_unmatched_scores: bool = False,
+    threshold: float = THRESHOLD,
 ) -> DataFrame:
     """``(predicted, expected, score, type)`` of all pairs of distinct names that match.
 
-    Null and empty names match nothing.  With ``keep_unmatched_scores`` pairs
-    under the threshold with a common word come too, typed ``no_match``.
+    Null and empty names match nothing; the threshold must exceed 0.
 
     Names are short, so the blocking keys stay few: a held name is found by
     its first three characters among the three-character pieces of the longer
-    one, word overlap by any word of its rarest part.
+    one.  Names whose words overlap enough share one of their rarest words:
+    of n words the n - ceil(threshold n) + 1 rarest are keys, so "fund" is
+    none where others are left.
     """
+    if threshold <= 0:
+        raise ValueError("a threshold of 0 matches all with all")
     p, e = _named(predicted, predicted_col, "predicted"), _named(expected, expected_col, "expected")
 
     def held(short: DataFrame, s: str, long: DataFrame, o: str) -> DataFrame:
@@ -47,16 +50,18 @@ def name_pairs(
             parts.append(keyed.join(pieces, "_key").where(F.contains(f"_{o}", f"_{s}")).select("predicted", "_predicted", "expected", "_expected"))
         return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
-    least = 0.0 if keep_unmatched_scores else threshold
+    def words(df: DataFrame, side: str) -> DataFrame:
+        return df.select(side, f"_{side}", F.explode(tokens(F.col(f"_{side}"))).alias("_key"))
 
-    def prefix(norm: Column) -> Column:
-        words = F.array_sort(tokens(norm))
-        keep = F.size(words) - F.ceil(F.size(words) * F.lit(least) - 1e-9).cast("int") + 1
-        return words if least <= 0 else F.slice(words, F.lit(1), F.greatest(keep, F.lit(1)))
+    often = words(p, "predicted").select("_key").unionAll(words(e, "expected").select("_key")).groupBy("_key").agg(F.count(F.lit(1)).alias("_in"))
 
-    a = p.select("predicted", "_predicted", F.explode(prefix(F.col("_predicted"))).alias("_key"))
-    b = e.select("expected", "_expected", F.explode(prefix(F.col("_expected"))).alias("_key"))
-    common = a.join(b, "_key").select("predicted", "_predicted", "expected", "_expected").where(overlap(F.col("_predicted"), F.col("_expected")) >= least)
+    def rarest(df: DataFrame, side: str) -> DataFrame:
+        ranked = words(df, side).join(often, "_key").groupBy(side, f"_{side}").agg(F.sort_array(F.collect_list(F.struct("_in", "_key"))).alias("_w"))
+        keep = F.size("_w") - F.ceil(F.size("_w") * F.lit(float(threshold)) - 1e-9).cast("int") + 1
+        return ranked.select(side, f"_{side}", F.explode(F.slice("_w", F.lit(1), F.greatest(keep, F.lit(1)))).alias("_k")).select(side, f"_{side}", "_k._key")
+
+    common = rarest(p, "predicted").join(rarest(e, "expected"), "_key").select("predicted", "_predicted", "expected", "_expected")
+    common = common.where(overlap(F.col("_predicted"), F.col("_expected")) >= threshold)
     pairs = held(p, "predicted", e, "expected").unionByName(held(e, "expected", p, "predicted")).unionByName(common).distinct()
     return pairs.select(
         "predicted", "expected", score_of(F.col("_predicted"), F.col("_expected")).alias("score"),
