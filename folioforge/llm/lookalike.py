@@ -111,8 +111,8 @@ class Model:
                 cost = _SCORES["double"] if o is not c else 0.0
                 for (last, script), (total, _) in best.items():
                     gain = cost
-                    if kind and script and kind != script:
-                        gain += _SCORES["switch"]
+                    if kind and script and kind != script:  # worse inside a word than between words
+                        gain += _SCORES["switch"] if last == " " else 2 * _SCORES["switch"]
                     if kind == "L" and double is not None:
                         gain += 0.3 * self.score(last, o)
                     key = (o if kind else " ", kind or script)

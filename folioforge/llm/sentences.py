@@ -91,6 +91,7 @@ def places(text: str) -> list[tuple[int, list[str]]]:
     n = len(text)
     capitals = text.isupper()
     out = []
+    opened, reach = 0, []  # pairs are walked along with the places, so long texts stay linear
     for m in _PLACE.finditer(text):
         i, j = m.span()
         mark = m.group()
@@ -115,7 +116,11 @@ def places(text: str) -> list[tuple[int, list[str]]]:
         after = end
         while after < n and text[after].isspace():
             after += 1
-        inside = sum(1 for o, c in pairs if o < i and c >= end)
+        while opened < len(pairs) and pairs[opened][0] < i:
+            reach.append(pairs[opened][1])
+            opened += 1
+        reach = [c for c in reach if c >= end]
+        inside = len(reach)
         gap = text[end:after]
         following = text[after: after + 40]
         nxt = _kind(following[:1])

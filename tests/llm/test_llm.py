@@ -262,12 +262,13 @@ def test_lookalikes(spark):
         ("text", 1, 0, "of Pelunebury‐Taredor Mid Сар Growth Fund now"), ("text", 2, 0, "YARILÖW INCOME TRUST, Yarilow Income Trust, YarilöwIncomeTrust"),
         ("text", 3, 0, "Yarilo\u0308w Income Trust"), ("text", 4, 0, "Ｏstodáñ Bond\u00a0Trust"), ("name", 5, 1, "Yarilöw In\u200bcome Trust"),
         ("text", 6, 0, "Yarilöw Income Trust и Фонд сор"), ("text", 7, 0, None), ("text", 8, 0, ""), ("text", 9, 0, "Yarilöw Income Trusts\u00ad"),
+        ("text", 11, 0, "и текст Үarilöw Incоme Trust и Уarilöw".replace("Ү", "Υ")), ("text", 12, 0, "Фонд сор и Оѕtоdаñ Воnd Тruѕt снова"),
         ("text", 10, 0, "กองทุนYarilöw\u2007Income Trustจำกัด"), ("text", 3, 0, "Yarilo\u0308w Income Trust"),
     ]
     df = spark.createDataFrame([(*p, "x") for p in places], "field string, record_id bigint, item_no int, text string, entity_id string")
     names = spark.createDataFrame(NAMES, "entity_id bigint, name string")
     got = sorted((r.record_id, r.entity_id) for r in lookalike.lookalike_names(df, names).collect())
-    assert got == [(1, 1), (3, 2), (3, 2), (4, 4), (5, 2), (10, 2)]
+    assert got == [(1, 1), (3, 2), (3, 2), (4, 4), (5, 2), (10, 2), (11, 2), (12, 3)]
     forms = {r.record_id: r.text for r in lookalike.in_one_form(df, names).collect()}
     assert forms[1] == "of Pelunebury-Taredor Mid Cap Growth Fund now" and forms[6].endswith("и Фонд сор")
     assert forms[3] == "Yarilöw Income Trust" and forms[7] is None and forms[8] == ""
