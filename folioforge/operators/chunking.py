@@ -25,6 +25,29 @@ def content_lines(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n", -1), stripped), lambda line: ~is_empty_line(line))
 
 
+def proportional_sentences(lines: Column, sentences: Sentences = sentences_of) -> Column:
+    """ARRAY<ARRAY<STRING>>: the sentences of a batch of lines, dealt out by length.
+
+    The lines are split as one text.  Line i gets floor(n * its share of the
+    characters) of the n sentences, one at least, from where the line before
+    stopped; a line for which none is left gets itself.  As the shares are
+    rounded, sentences can be lost; ``pieces_of_lines`` splits line by line
+    instead and loses none.
+    """
+    found = sentences(F.array_join(lines, "\n"))
+    total = F.greatest(F.aggregate(lines, F.lit(0), lambda n, x: n + F.length(x)), F.lit(1))
+
+    def share(x: Column) -> Column:
+        return F.greatest(F.floor(F.size(found) * F.length(x) / total), F.lit(1)).cast("int")
+
+    def dealt(x: Column, i: Column) -> Column:
+        start = F.aggregate(F.slice(lines, F.lit(1), i), F.lit(0), lambda n, y: n + share(y))
+        own = F.slice(found, start + 1, share(x))
+        return F.when(F.size(own) > 0, own).otherwise(F.array(x))
+
+    return F.transform(lines, dealt)
+
+
 def pieces_of_lines(lines: Column, sentences: Sentences | None = sentences_of) -> Column:
     """Runs of table rows become one piece, long prose lines their sentences, other lines themselves."""
     n = F.size(lines)

@@ -202,6 +202,12 @@ def test_tables_stay_together(spark):
     assert rows in with_table
 
 
+def test_proportional_sentences(spark):
+    df = spark.createDataFrame([(["One is. Two is.", "Three is. Four i."],), (["A", "B", "C"],), ([],)], "l array<string>")
+    got = [r.s for r in df.select(chunking.proportional_sentences(F.col("l")).alias("s")).collect()]
+    assert got[0] == [["One is."], ["Two is.", "Three is."]] and got[1] == [["A\nB\nC"], ["B"], ["C"]] and got[2] == []
+
+
 def test_table_gaps():
     gap = "a | b\n\n\n\nsome content line\n\nshort\nc | d\ntail\n\n\nend"
     assert chunking.close_table_gaps(gap) == "a | b\n\nsome content line\n\nc | d\ntail\n\n\nend"
@@ -390,3 +396,15 @@ def test_stream_equals_batch(spark, tmp_path):
     q.awaitTermination(120)
     want = chunking.chunk_texts(df, ["id"], "text", 300)
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_sql_functions_equal_columns(spark):
+    from folioforge.functions.register import register
+
+    assert "ff_name_score" in register(spark)
+    rows = [(p, e) for p, e, *_ in MATCHES] + [("S&P  500!", "s&p 500 index"), ("A–B", "a-b")]
+    df = spark.createDataFrame(rows, "p string, e string")
+    df.createOrReplaceTempView("name_rows")
+    sql = spark.sql("SELECT ff_normal_name(p) AS n, ff_name_score(p, e) AS s, ff_name_match_type(p, e) AS t FROM name_rows").collect()
+    col = df.select(text.normal_name(F.col("p")), similarity.name_score(F.col("p"), F.col("e")), similarity.name_match_type(F.col("p"), F.col("e"))).collect()
+    assert [tuple(r) for r in sql] == [tuple(r) for r in col]
