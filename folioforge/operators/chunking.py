@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioforge.functions.binding import let
 from folioforge.functions.text import is_empty_line, is_table_row, needs_sentences, sanitized, sentences_of, stripped
 
 CHUNK_SIZE = 2_000
@@ -51,23 +52,22 @@ def proportional_sentences(lines: Column, sentences: Sentences = sentences_of) -
 def pieces_of_lines(lines: Column, sentences: Sentences | None = sentences_of) -> Column:
     """Runs of table rows become one piece, long prose lines their sentences, other lines themselves."""
     n = F.size(lines)
-    starts = F.filter(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: ~(is_table_row(F.get(lines, i - 1)) & F.coalesce(is_table_row(F.get(lines, i - 2)), F.lit(False))),
-    )
+    rows = F.transform(lines, is_table_row)
 
-    def piece(start: Column, k: Column) -> Column:
-        end = F.coalesce(F.get(starts, k + 1), n + 1)
+    def begins(row: Column) -> Column:
+        """Where pieces start, from 1: everywhere but inside a run of rows."""
+        return F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: ~(F.get(row, i - 1) & F.coalesce(F.get(row, i - 2), F.lit(False))))
+
+    def piece(start: Column, k: Column, row: Column, starts: Column) -> Column:
+        length = F.coalesce(F.get(starts, k + 1), n + 1) - start
         first = F.get(lines, start - 1)
+        table = F.array(F.array_join(F.slice(lines, start, length), "\n"))
         if sentences is None:
-            whole = F.array(F.array_join(F.slice(lines, start, end - start), "\n"))
-        else:
-            whole = F.when(is_table_row(first), F.array(F.array_join(F.slice(lines, start, end - start), "\n"))).when(
-                needs_sentences(first), sentences(first)
-            ).otherwise(F.array(first))
-        return whole
+            return table
+        return F.when(F.get(row, start - 1), table).when(needs_sentences(first), sentences(first)).otherwise(F.array(first))
 
-    return F.when(n == 0, F.array().cast("array<string>")).otherwise(F.flatten(F.transform(starts, piece)))
+    every = let(rows, lambda row: let(begins(row), lambda starts: F.flatten(F.transform(starts, lambda start, k: piece(start, k, row, starts)))))
+    return F.when(n == 0, F.array().cast("array<string>")).otherwise(every)
 
 
 def packed(pieces: Column, size: int = CHUNK_SIZE) -> Column:
@@ -88,7 +88,12 @@ def packed(pieces: Column, size: int = CHUNK_SIZE) -> Column:
         )
 
     ends = F.aggregate(lengths, seed, step, lambda s: F.concat(s["ends"], F.array(s["seen"])))
-    chunks = F.transform(ends, lambda end, k: F.array_join(F.slice(pieces, F.coalesce(F.get(ends, k - 1), F.lit(0)) + 1, end - F.coalesce(F.get(ends, k - 1), F.lit(0))), "\n\n"))
+
+    def joined(borders: Column) -> Column:
+        before = lambda k: F.coalesce(F.get(borders, k - 1), F.lit(0))
+        return F.transform(borders, lambda end, k: F.array_join(F.slice(pieces, before(k) + 1, end - before(k)), "\n\n"))
+
+    chunks = let(ends, joined)
     return F.when(F.size(pieces) == 0, F.array().cast("array<string>")).otherwise(chunks)
 
 

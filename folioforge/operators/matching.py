@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.functions.binding import let
 from folioforge.functions.similarity import THRESHOLD, overlap, score_of, tokens, type_of
 from folioforge.functions.text import normal_name
 
@@ -98,7 +99,12 @@ def batch_match(predictions: Column, expectations: Column, threshold: float = TH
     """
     none = F.array().cast("array<string>")
     p, e = F.coalesce(predictions, none), F.coalesce(expectations, none)
-    np_, ne = F.transform(p, normal_name), F.transform(e, normal_name)
+    names = F.struct(p.alias("p"), e.alias("e"), F.transform(p, normal_name).alias("np"), F.transform(e, normal_name).alias("ne"))
+    return let(names, lambda n: let(_greedy(n["np"], n["ne"], threshold), lambda taken: _outcome(n, taken, typed_at)))
+
+
+def _greedy(np_: Column, ne: Column, threshold: float) -> Column:
+    """ARRAY<STRUCT<i, j>>: each name takes the first free one it matches."""
     seed = F.array().cast("array<struct<i:int,j:int>>")
 
     def take(taken: Column, i: Column) -> Column:
@@ -106,17 +112,21 @@ def batch_match(predictions: Column, expectations: Column, threshold: float = TH
             F.sequence(F.lit(0), F.size(ne) - 1),
             lambda j: ~F.exists(taken, lambda t: t["j"] == j) & (type_of(F.get(np_, i), F.get(ne, j), threshold) != "no_match"),
         )
-        hit = F.get(free, F.lit(0))
-        return F.when(hit.isNull(), taken).otherwise(F.concat(taken, F.array(F.struct(i.cast("int").alias("i"), hit.cast("int").alias("j")))))
+        return let(F.get(free, F.lit(0)), lambda hit: F.when(hit.isNull(), taken).otherwise(
+            F.concat(taken, F.array(F.struct(i.cast("int").alias("i"), hit.cast("int").alias("j"))))
+        ))
+
+    return F.when((F.size(np_) == 0) | (F.size(ne) == 0), seed).otherwise(F.aggregate(F.sequence(F.lit(0), F.size(np_) - 1), seed, take))
+
 
-    taken = F.when((F.size(p) == 0) | (F.size(e) == 0), seed).otherwise(F.aggregate(F.sequence(F.lit(0), F.size(p) - 1), seed, take))
-    matches = F.transform(taken, lambda t: F.struct(
-        F.get(p, t["i"]).alias("predicted"), F.get(e, t["j"]).alias("expected"),
-        score_of(F.get(np_, t["i"]), F.get(ne, t["j"])).alias("score"), type_of(F.get(np_, t["i"]), F.get(ne, t["j"]), typed_at).alias("type"),
+def _outcome(n: Column, taken: Column, typed_at: float) -> Column:
+    pairs = F.transform(taken, lambda t: F.struct(
+        F.get(n["p"], t["i"]).alias("predicted"), F.get(n["e"], t["j"]).alias("expected"),
+        score_of(F.get(n["np"], t["i"]), F.get(n["ne"], t["j"])).alias("score"), type_of(F.get(n["np"], t["i"]), F.get(n["ne"], t["j"]), typed_at).alias("type"),
     ))
     return F.struct(
-        matches.alias("matches"), F.size(taken).alias("true_positives"), (F.size(p) - F.size(taken)).alias("false_positives"),
-        (F.size(e) - F.size(taken)).alias("false_negatives"), F.transform(taken, lambda t: t["i"]).alias("matched_predictions"),
+        pairs.alias("matches"), F.size(taken).alias("true_positives"), (F.size(n["p"]) - F.size(taken)).alias("false_positives"),
+        (F.size(n["e"]) - F.size(taken)).alias("false_negatives"), F.transform(taken, lambda t: t["i"]).alias("matched_predictions"),
         F.transform(taken, lambda t: t["j"]).alias("matched_expectations"),
     )
 

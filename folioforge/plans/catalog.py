@@ -300,8 +300,12 @@ def best_names(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def name_evaluation(spark: SparkSession, d: str) -> DataFrame:
-    """Found names against reference names, filer by filer."""
-    return evaluated(_found(spark, d), table(spark, d, "entity_name"), "cik", generic=GenericNames())
+    """Names found in each document against the reference names of its filer."""
+    x = table(spark, d, "extracted_text")
+    found = x.select("document_key", F.explode("entity_names_found").alias("name"))
+    known = table(spark, d, "entity_name").select("cik", "name")
+    expected = x.select("document_key", "cik").distinct().join(known, "cik").select("document_key", "name")
+    return evaluated(found, expected, "document_key", generic=GenericNames())
 
 
 @query(f"SELECT extract_id, name FROM (SELECT *, {_sql_norm('name')} AS n FROM {_SQL_FOUND}) WHERE NOT {_SQL_GENERIC}")
