@@ -408,3 +408,28 @@ def test_sql_functions_equal_columns(spark):
     sql = spark.sql("SELECT ff_normal_name(p) AS n, ff_name_score(p, e) AS s, ff_name_match_type(p, e) AS t FROM name_rows").collect()
     col = df.select(text.normal_name(F.col("p")), similarity.name_score(F.col("p"), F.col("e")), similarity.name_match_type(F.col("p"), F.col("e"))).collect()
     assert [tuple(r) for r in sql] == [tuple(r) for r in col]
+
+
+def test_windowed_tags_stream(spark, tmp_path):
+    import datetime as dt
+
+    from folioforge.streaming import ingest
+
+    at = lambda day, hour=1: dt.datetime(2024, 1, day, hour)
+    rows = [(at(1), "a fund manager and $5"), (at(1, 5), "no role"), (at(3), "fund manager, fund manager"), (at(20), None)]
+    spark.createDataFrame(rows, "fetched_at timestamp, text string").coalesce(1).write.parquet(str(tmp_path / "in"))
+    src = ingest.landed(spark, str(tmp_path / "in"), "fetched_at timestamp, text string")
+    t = ingest.windowed_tags(src, "fetched_at", "text")
+    q = t.writeStream.format("memory").queryName("tag_windows").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    got = sorted(tuple(r) for r in spark.sql("SELECT * FROM tag_windows").collect())
+    assert got == [(at(1, 0), 2, 1, 0, 1), (at(3, 0), 1, 2, 0, 0), (at(20, 0), 1, 0, 0, 0)]
+
+
+def test_scans_read_only_what_they_need(spark, tmp_path):
+    from folioforge.plans.catalog import QUERIES
+
+    cols = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame([(1, "x", "en", "s", 1)], cols).write.parquet(str(tmp_path / "documents.parquet"))
+    plan = QUERIES["tag_counts"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan and "Exchange" not in plan
