@@ -282,41 +282,47 @@ def _join(a: list, b: list) -> list:
     return [a[0], a[1], optional]
 
 
-def align(a: list[list], b: list[list], longest: int = 400) -> list[list]:
+def _sign(e: list) -> str:
+    """Equal for two elements exactly if they are the same to ``_same``."""
+    return "" if e[0] in ("text", "slot") else e[0] + repr(e[1])
+
+
+def align(a: list[list], b: list[list]) -> list[list]:
     """One wrapper for two: aligned elements join, the others become optional.
 
-    ``longest`` bounds a wrapper's length: behind it everything is one
-    repeated slot, so merging any number of pages needs bounded memory.
+    The longest common subsequence, whole whatever the lengths.  Its table is
+    kept as one number for each element of ``a``: the bit of ``b``'s element j
+    says that best[i][j] is best[i][j + 1] + 1, so best[i][j] is the count of
+    the bits from j on.
     """
     n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
+    ours, theirs = [_sign(e) for e in a], [_sign(e) for e in b]
+    at: dict[str, int] = {}
+    for j, sign in enumerate(theirs):
+        at[sign] = at.get(sign, 0) | 1 << m - 1 - j
+    full = (1 << m) - 1
+    flat, rises = full, [0] * (n + 1)
     for i in range(n - 1, -1, -1):
-        row, below = best[i], best[i + 1]
-        for j in range(m - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if _same(a[i], b[j]) else max(below[j], row[j + 1])
+        met = flat & at.get(ours[i], 0)
+        flat = (flat + met | flat - met) & full
+        rises[i] = full & ~flat
     out, i, j = [], 0, 0
     while i < n and j < m:
-        if _same(a[i], b[j]):
+        if ours[i] == theirs[j]:
             out.append(_join(a[i], b[j]))
             i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
+        elif (rises[i + 1] & (1 << m - j) - 1).bit_count() >= (rises[i] & (1 << m - j - 1) - 1).bit_count():
             out.append([a[i][0], a[i][1], True])
             i += 1
         else:
             out.append([b[j][0], b[j][1], True])
             j += 1
-    out += [[*e[:2], True] for e in a[i:]] + [[*e[:2], True] for e in b[j:]]
-    if len(out) > longest:
-        out = [*out[:longest], ["rep", [["slot", "", True]], True]]
-    return out
+    return out + [[*e[:2], True] for e in a[i:]] + [[*e[:2], True] for e in b[j:]]
 
 
-def wrapper_of(page: str, longest: int = 400) -> list[list]:
+def wrapper_of(page: str) -> list[list]:
     elements = [["tag" if t[0] == "<" and t[-1] == ">" and len(t) > 2 else "text", t, False] for t in token_stream(page)]
-    out = fold_repeats(elements)
-    if len(out) > longest:
-        out = [*out[:longest], ["rep", [["slot", "", True]], True]]
-    return out
+    return fold_repeats(elements)
 
 
 def shown(wrapper: list[list]) -> str:
@@ -329,13 +335,14 @@ def shown(wrapper: list[list]) -> str:
 
 
 def host_wrappers(
-    df: DataFrame, host_col: str = "cik", pages_col: str = "html_pages", longest: int = 400, salts: int = 64
+    df: DataFrame, host_col: str = "cik", pages_col: str = "html_pages", salts: int = 64, hold: int = 200_000
 ) -> DataFrame:
     """``(<host_col>, pages BIGINT, wrapper STRING)``: one wrapper for each host.
 
-    Each task first merges its own pages host by host, so at most one partial
-    wrapper of bounded length for each task and host is shuffled; those merge
-    in two salted rounds.  Hosts whose pages are all null, empty or missing do
+    Each task first merges its own pages host by host and passes the partial
+    wrappers on at its end, or once they hold ``hold`` elements together; those
+    merge in two salted rounds.  No wrapper is cut: its length follows the
+    variety of the host's pages.  Hosts whose pages are all null, empty or missing do
     not appear; a null host is a host of its own.
     """
     rows = df.select(F.col(host_col).alias("_host"), F.explode(pages_col).alias("_page")).where(F.length("_page") > 0)
@@ -347,15 +354,17 @@ def host_wrappers(
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict = {}
+        elements = 0
         for pdf in batches:
             for host, page in zip(pdf["_host"], pdf["_page"], strict=True):
                 host = None if pd.isna(host) else host
-                new = wrapper_of(page, longest)
-                old = held.get(host)
-                held[host] = (old[0] + 1, align(old[1], new, longest)) if old else (1, new)
-                if len(held) >= 2000:
+                n, old = held.get(host, (0, []))
+                new = align(old, wrapper_of(page)) if n else wrapper_of(page)
+                held[host] = (n + 1, new)
+                elements += len(new) - len(old)
+                if len(held) >= 2000 or elements >= hold:
                     yield out(held)
-                    held = {}
+                    held, elements = {}, 0
         yield out(held)
 
     def out(held: dict) -> pd.DataFrame:
@@ -369,7 +378,7 @@ def host_wrappers(
         pdf = pdf.sort_values(["_pages", "_wrapper"], ascending=[False, True])
         whole = json.loads(pdf["_wrapper"].iloc[0])
         for other in pdf["_wrapper"].iloc[1:]:
-            whole = align(whole, json.loads(other), longest)
+            whole = align(whole, json.loads(other))
         return pd.DataFrame({"_host": pdf["_host"].iloc[:1], "_salt": [0], "_pages": [int(pdf["_pages"].sum())], "_wrapper": [json.dumps(whole)]})
 
     once = rows.mapInPandas(partial, schema).groupBy("_host", "_salt").applyInPandas(merge, schema)

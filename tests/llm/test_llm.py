@@ -252,6 +252,27 @@ def test_wrappers(spark):
     assert "(<p> # </p>)+" in out[0].wrapper and '"legal"' in out[0].wrapper and "(<h2>)?" in out[0].wrapper
 
 
+def test_alignment_is_the_longest_common_subsequence():
+    rng = random.Random(3)
+    kinds = [["tag", "<p>", False], ["tag", "</p>", True], ["text", "a", False], ["slot", "", False], ["rep", [["text", "a", False]], False], ["rep", [["slot", "", False]], False]]
+    for _ in range(300):
+        a, b = ([rng.choice(kinds) for _ in range(rng.randrange(14))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, j in itertools.product(range(len(a)), range(len(b))):
+            best[i + 1][j + 1] = best[i][j] + 1 if markup._same(a[i], b[j]) else max(best[i][j + 1], best[i + 1][j])
+        out = markup.align(a, b)
+        assert len(out) == len(a) + len(b) - best[-1][-1]
+
+
+def test_long_wrappers_keep_their_end(spark):
+    rng = random.Random(5)
+    body = "".join(f"<{t}>{k}</{t}>" for k, t in enumerate(rng.choices("h1 h2 h3 p div li td th b i".split(), k=600)))
+    rows = [(k, "c", "a", [f"<main>{body}</main>{more}<footer>Legal notice</footer>"], [], None) for k, more in enumerate(["", "<hr>", ""])]
+    out = markup.host_wrappers(chunked(spark, rows), hold=3000).collect()
+    assert len(out) == 1 and out[0].pages == 3
+    assert out[0].wrapper.endswith('</main> (<hr>)? <footer> "legal notice" </footer>') and out[0].wrapper.count('"0"') > 300
+
+
 # ---- look-alikes
 
 NAMES = [(1, "Pelunebury-Taredor Mid Cap Growth Fund"), (2, "Yarilöw Income Trust"), (3, "Ostodañ Bond Trust"), (4, "Ostodáñ Bond Trust"), (5, None)]
