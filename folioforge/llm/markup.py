@@ -17,6 +17,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -104,13 +105,29 @@ _OTHER_STEPS = [
     (r"~~([^~\n]{1,300})~~", "$1"),
     (r"(?m)^#{2,6}[ \t]+", "# "),
 ]
-#: Entities that stand for one character each; numbers are decoded by rule.
-_ENTITIES = {"nbsp": " ", "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "ldquo": "“", "rdquo": "”",
-             "lsquo": "‘", "rsquo": "’", "ndash": "–", "mdash": "—", "hellip": "…", "bull": "•", "copy": "©", "reg": "®"}
+#: Entities by name or by number; more digits than these name no character.
+_ENTITY = r"&(?:[A-Za-z][A-Za-z0-9]+|#0*[0-9]{1,7}|#[Xx]0*[0-9A-Fa-f]{1,6});"
+
+
+def _character(entity: str) -> str:
+    """What one entity stands for, a plain blank for a fixed one; unknown names stay."""
+    name = entity[1:]
+    if name[0] == "#":
+        out = html.unescape(entity)
+    else:
+        out = html5.get(name) or html5.get(name.lower()) or entity
+    return " " if out == "\xa0" else out
+
+
+def decoded(text: Column) -> Column:
+    """Text with its entities read once, so ``&amp;lt;`` gives ``&lt;``; only texts that hold any go to Python."""
+    entity = re.compile(_ENTITY)
+    read = F.pandas_udf(lambda s: s.map(lambda t: None if t is None else entity.sub(lambda m: _character(m.group()), t)), "string")
+    return F.coalesce(read(F.when(text.rlike(_ENTITY), text)), text)
 
 
 def clean_chunk(chunk: Column) -> Column:
-    """Text of one chunk without its leftover markup; null stays null.
+    """Text of one chunk without its leftover markup, entities still as they are; null stays null.
 
     Headings become ``# ``, items ``- ``, table cells ``a | b``; code keeps
     its marks and formulas their source.
@@ -118,20 +135,15 @@ def clean_chunk(chunk: Column) -> Column:
     out = chunk
     for pattern, by in _HTML_STEPS + _OTHER_STEPS:
         out = F.regexp_replace(out, pattern, by)
-    for name, char in _ENTITIES.items():
-        if name != "amp":
-            out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    out = F.regexp_replace(out, "&#160;", " ")
-    out = F.replace(out, F.lit("&#8220;"), F.lit("“"))
-    out = F.replace(out, F.lit("&#8221;"), F.lit("”"))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    return out
 
 
 def clean_chunks(df: DataFrame, id_col: str = "chunked_id", chunks_col: str = "text_chunks") -> DataFrame:
     """``(<id_col>, chunk_no, text)`` of every chunk, null ones as null."""
     rows = _chunks(df, id_col, chunks_col)
     touched = F.col("_chunk").rlike("|".join(f"(?:{p})" for p in TOKENS.values()))
-    return rows.select(F.col("_id").alias(id_col), "chunk_no", F.when(touched, clean_chunk(F.col("_chunk"))).otherwise(F.col("_chunk")).alias("text"))
+    rows = rows.withColumn("_text", F.when(touched, clean_chunk(F.col("_chunk"))).otherwise(F.col("_chunk")))
+    return rows.select(F.col("_id").alias(id_col), "chunk_no", decoded(F.col("_text")).alias("text"))
 
 
 # ---- pages -----------------------------------------------------------------

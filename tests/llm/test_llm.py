@@ -238,6 +238,17 @@ def test_markup_kinds_and_decoys(spark):
     assert text[3] == r"Sum is $\sigma_{1} \le 2$" and text[4] == chunks[4] and text[5] == chunks[5] and text[6] is None and text[7] == ""
 
 
+def test_every_entity_is_decoded(spark):
+    chunks = [
+        "a &#8212; b &#8217; &#x2019; &#X201D; &sect; &eacute; &CounterClockwiseContourIntegral; &NBSP;&#xa0;&nbsp;|",
+        "&amp;lt; &amp;#8212; &bogus; &notit; R&D; AT&T &#99999999; &copy 2020 &#128;", "<b>&lt;b&gt;</b>", None, "plain & simple;",
+    ]
+    text = {r.chunk_no: r.text for r in markup.clean_chunks(chunked(spark, [(1, "c", "a", None, chunks, None)])).collect()}
+    assert text == {
+        0: "a — b ’ ’ ” § é ∳    |", 1: "&lt; &#8212; &bogus; &notit; R&D; AT&T &#99999999; &copy 2020 €", 2: "<b>", 3: None, 4: "plain & simple;",
+    }
+
+
 def test_page_text_keeps_structure():
     page = '<div><!-- x --><div style="display: none">no</div><h2>Top</h2><ul><li>a</li><li>b</li></ul><table><tr><td>1</td><td>2</td></tr></table><pre>x\n  y</pre>H<sub>2</sub>O &amp; c'
     assert markup.page_text(page) == "## Top\n\n- a\n- b\n\n1 | 2\n\n```\nx\n  y\n```\nH_{2}O & c"
