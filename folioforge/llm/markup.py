@@ -236,7 +236,7 @@ _STREAM = re.compile(r"<!--.*?-->|<(/?)([A-Za-z][A-Za-z0-9]*)[^<>]*>|[^<]+|<", r
 
 
 def token_stream(page: str) -> list[str]:
-    """Tags as ``<p>`` and ``</p>``, texts as themselves with blanks and digits unified."""
+    """Tags as ``<p>`` and ``</p>``, whole texts as themselves with blanks and digits unified."""
     out = []
     for m in _STREAM.finditer(page):
         if m.group(2):
@@ -244,7 +244,7 @@ def token_stream(page: str) -> list[str]:
         elif not m.group(0).startswith("<!--"):
             t = re.sub(r"\d+", "0", re.sub(r"\s+", " ", html.unescape(m.group(0))).strip().lower())
             if t:
-                out.append(t[:200])
+                out.append(t)
     return out
 
 

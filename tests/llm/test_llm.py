@@ -284,6 +284,13 @@ def test_long_wrappers_keep_their_end(spark):
     assert out[0].wrapper.endswith('</main> (<hr>)? <footer> "legal notice" </footer>') and out[0].wrapper.count('"0"') > 300
 
 
+def test_long_texts_are_compared_whole(spark):
+    same = "the same notice " * 20 + "ends here"
+    pages = [f"<div><p>{same}</p><b>{same} {end}</b></div>" for end in ("in one way", "in another way")]
+    out = markup.host_wrappers(chunked(spark, [(1, "c", "a", pages, [], None)])).collect()
+    assert out[0].wrapper == f'<div> <p> "{same}" </p> <b> # </b> </div>'
+
+
 # ---- look-alikes
 
 NAMES = [(1, "Pelunebury-Taredor Mid Cap Growth Fund"), (2, "Yarilöw Income Trust"), (3, "Ostodañ Bond Trust"), (4, "Ostodáñ Bond Trust"), (5, None)]
