@@ -2,7 +2,7 @@
 
 Three parts:
 
-* token classes of the four languages, as bounded patterns for the JVM;
+* token classes of the four languages, as patterns for the JVM that no length of a span bounds;
 * clean text that keeps headings, lists, tables, code and formulas;
 * wrappers: union-free regular expressions over the token streams of one
   host's pages, inferred by iterative alignment.  Mismatches become optional
@@ -37,22 +37,24 @@ TAGS = (
 #: What a token of each language looks like.
 TOKENS = {
     "html": (
-        rf"(?i)</?(?:{'|'.join(TAGS)})(?:\s[^<>]{{0,2000}})?/?>|</(?:{'|'.join(TAGS)})(?=\s|$)"
-        r"|<!--|-->|<!DOCTYPE[^<>]{0,200}>"
-        r"|&(?:[a-z][a-z0-9]{1,9}|#[0-9]{1,7}|#x[0-9a-f]{1,6});"
+        rf"(?i)</?(?:{'|'.join(TAGS)})(?:\s[^<>]*+)?/?>|</(?:{'|'.join(TAGS)})(?=\s|$)"
+        r"|<!--|-->|<!DOCTYPE[^<>]*+>"
+        r"|&(?:[a-z][a-z0-9]{1,31}|#0*[0-9]{1,7}|#x0*[0-9a-f]{1,6});"
     ),
     "markdown": (
         r"(?m)^#{1,6}[ \t]+\S|^[ \t]{0,3}```"
-        r"|\*\*[^\s*][^*\n]{0,300}\*\*|(?<![\w_])__[\p{L}\p{N}][^_\n]{0,300}__(?![\w_])"
-        r"|~~[\p{L}\p{N}][^~\n]{0,300}[\p{L}\p{N}.)]~~|`[^`\n]{1,300}`"
-        r"|!?\[[^\]\[\n]{1,300}\]\([^()\s]{1,300}\)"
+        r"|\*\*[^\s*][^*\n]*+\*\*|(?<![\w_])__[\p{L}\p{N}][^_\n]*+__(?![\w_])"
+        r"|~~[\p{L}\p{N}][^~\n]++(?<=[\p{L}\p{N}.)])~~|`[^`\n]++`"
+        r"|!?\[[^\]\[\n]++\]\([^()\s]++\)"
     ),
     "wiki": (
-        r"(?m)\[\[[^\]\[\n]{1,300}\]\]|\{\{[^{}\n]{1,500}\}\}|'''?[^'\n]{1,300}'''?"
-        r"|^={2,6}[^=\n]{1,300}={2,6}[ \t]*$|^\{\|.*$|^\|\}[ \t]*$|^\|-[ \t]*$"
+        r"(?m)\[\[[^\]\[\n]++\]\]|\{\{[^{}\n]++\}\}|'''?[^'\n]++'''?"
+        r"|^={2,6}[^=\n]++={2,6}[ \t]*$|^\{\|.*$|^\|\}[ \t]*$|^\|-[ \t]*$"
     ),
     "latex": (
-        r"\\[A-Za-z]{2,}|\$\$[^$]{1,500}\$\$|\$[^$\n]{0,200}[\\_^][^$\n]{0,200}\$|\\\[|\\\]|\\\(|\\\)"
+        r"\\[A-Za-z]{2,}|\$\$[^$]++\$\$|\$[^$\n]{0,200}[\\_^][^$\n]{0,200}\$|\\\[|\\\]|\\\(|\\\)"
+        # longer ones stand close to their signs, as two amounts do not
+        r"|\$(?!\s)[^$\n\\_^]*+[\\_^][^$\n]*+(?<!\s)\$(?!\d)"
     ),
 }
 
@@ -78,31 +80,31 @@ def markup_residue(df: DataFrame, id_col: str = "chunked_id", chunks_col: str =
 
 #: Rewrites that turn leftover markup into text, in order.
 _HTML_STEPS = [
-    (r"(?s)<!--.{0,20000}?-->", ""),
+    (r"(?s)<!--.*?-->", ""),
     (r"(?i)<br\s*/?>", "\n"),
     (r"(?i)<h([1-6])(?:\s[^<>]*)?>", "\n# "),
     (r"(?i)<li(?:\s[^<>]*)?>", "\n- "),
-    (r"(?i)<sub>([^<]{0,200})</sub>", "_{$1}"),
-    (r"(?i)<sup>([^<]{0,200})</sup>", "^{$1}"),
+    (r"(?i)<sub>([^<]*+)</sub>", "_{$1}"),
+    (r"(?i)<sup>([^<]*+)</sup>", "^{$1}"),
     (r"(?i)</?code>", "`"),
     (r"(?i)</t[dh]>\s*<t[dh](?:\s[^<>]*)?>", " | "),
     (r"(?i)</?(?:p|div|tr|ul|ol|table|h[1-6])(?:\s[^<>]*)?/?>", "\n"),
     (rf"(?i)</?(?:{'|'.join(TAGS)})(?:\s[^<>]*)?/?>|</(?:{'|'.join(TAGS)})(?=\s|$)|<!--|-->", ""),
 ]
 _OTHER_STEPS = [
-    (r"\\(?:sub)*section\*?\{([^{}\n]{1,300})\}", "# $1"),
-    (r"\\(?:textbf|textit|emph|underline)\{([^{}\n]{1,300})\}", "$1"),
+    (r"\\(?:sub)*section\*?\{([^{}\n]++)\}", "# $1"),
+    (r"\\(?:textbf|textit|emph|underline)\{([^{}\n]++)\}", "$1"),
     (r"\\item\b[ \t]*", "- "),
     (r"\\(?:begin|end)\{(?:itemize|enumerate|document|center)\}", ""),
-    (r"(?m)^={2,6}[ \t]*([^=\n]{1,300}?)[ \t]*={2,6}[ \t]*$", "# $1"),
-    (r"\[\[(?:[^\]\[|\n]{1,300}\|)?([^\]\[|\n]{1,300})\]\]", "$1"),
-    (r"\{\{[^{}\n]{1,500}\}\}[ \t]?", ""),
-    (r"'''?([^'\n]{1,300})'''?", "$1"),
+    (r"(?m)^={2,6}[ \t]*([^=\n]+?)[ \t]*={2,6}[ \t]*$", "# $1"),
+    (r"\[\[(?:[^\]\[|\n]++\|)?([^\]\[|\n]++)\]\]", "$1"),
+    (r"\{\{[^{}\n]++\}\}[ \t]?", ""),
+    (r"'''?([^'\n]++)'''?", "$1"),
     (r"(?m)^(?:\{\|.*|\|\}|\|-)[ \t]*\n?", ""),
-    (r"!?\[([^\]\[\n]{1,300})\]\([^()\s]{1,300}\)", "$1"),
-    (r"\*\*([^\s*][^*\n]{0,300})\*\*", "$1"),
-    (r"(?<![\w_])__([^\s_][^_\n]{0,300})__(?![\w_])", "$1"),
-    (r"~~([^~\n]{1,300})~~", "$1"),
+    (r"!?\[([^\]\[\n]++)\]\([^()\s]++\)", "$1"),
+    (r"\*\*([^\s*][^*\n]*+)\*\*", "$1"),
+    (r"(?<![\w_])__([^\s_][^_\n]*+)__(?![\w_])", "$1"),
+    (r"~~([^~\n]++)~~", "$1"),
     (r"(?m)^#{2,6}[ \t]+", "# "),
 ]
 #: Entities by name or by number; more digits than these name no character.

@@ -249,6 +249,21 @@ def test_every_entity_is_decoded(spark):
     }
 
 
+def test_long_spans_are_markup(spark):
+    x = "word " * 2000 + "end"
+    cases = [
+        (f"**{x}**", "markdown", x), (f"__{x}__", "markdown", x), (f"~~{x}~~", "markdown", x), (f"`{x}`", "markdown", f"`{x}`"), (f"[{x}](#s)", "markdown", x),
+        (f"[[Page|{x}]]", "wiki", x), (f"{{{{{x}}}}} a", "wiki", "a"), (f"{3 * chr(39)}{x}{3 * chr(39)}", "wiki", x), (f"== {x} ==", "wiki", f"# {x}"),
+        (f"$${x}$$", "latex", f"$${x}$$"), (f"$x_1 {x}$", "latex", f"$x_1 {x}$"), (f'<i title="{x}"', None, f'<i title="{x}"'), (f'<i title="{x}">', "html", ""),
+        (f"H<sub>{x}</sub>", "html", f"H_{{{x}}}"), (f"<!--{x * 3}-->", "html", ""), ("&CounterClockwiseContourIntegral;", "html", "∳"),
+        (f"paid $5 for a_b {x} and $6", None, f"paid $5 for a_b {x} and $6"),
+    ]
+    rows = chunked(spark, [(1, "c", "a", None, [c for c, _, _ in cases], None)])
+    got = {(r.chunk_no, r.markup) for r in markup.markup_residue(rows).collect()}
+    assert got == {(k, kind) for k, (_, kind, _) in enumerate(cases) if kind}
+    assert {r.chunk_no: r.text for r in markup.clean_chunks(rows).collect()} == {k: t for k, (_, _, t) in enumerate(cases)}
+
+
 def test_page_text_keeps_structure():
     page = '<div><!-- x --><div style="display: none">no</div><h2>Top</h2><ul><li>a</li><li>b</li></ul><table><tr><td>1</td><td>2</td></tr></table><pre>x\n  y</pre>H<sub>2</sub>O &amp; c'
     assert markup.page_text(page) == "## Top\n\n- a\n- b\n\n1 | 2\n\n```\nx\n  y\n```\nH_{2}O & c"
