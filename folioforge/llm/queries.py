@@ -46,7 +46,8 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     blocks = table(spark, d, "extracted_text").where((F.col("sentence_index") == -1) & (F.col("context_type") == "narrative"))
-    return sentences.sentences(blocks).where("closed").select("extract_id", "start_pos", "end_pos")
+    # the end of a block ends its last sentence, with or without a mark
+    return sentences.sentences(blocks).where(F.col("closed") | F.col("sentence").rlike(r"\p{L}")).select("extract_id", "start_pos", "end_pos")
 
 
 def p4_sentences(spark: SparkSession, d: str) -> DataFrame:

@@ -42,3 +42,11 @@ def test_runs(spark, folder, name):
         assert [tuple(r) for r in rows] == [(1, 1)]
     if kind == "nulls" and name == "p8_ids":
         assert {r.doc_id: len(r.ids) for r in rows} == {None: 0, 1: 14, 2: 0}
+
+
+def test_last_sentence_needs_no_mark(spark, tmp_path):
+    texts = ["One is here. Two has no mark", "All of it without one", "One is here. 12 --"]
+    rows = [(k, "c/a", "c", t, "narrative", None, 0, -1, None, None) for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, TABLES["extracted_text"]).write.parquet(f"{tmp_path}/extracted_text.parquet")
+    got = {tuple(r) for r in QUERIES["p4_found"](spark, str(tmp_path)).collect()}
+    assert got == {(0, 0, 12), (0, 13, 28), (1, 0, 21), (2, 0, 12)}
