@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,25 +15,42 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; set one only where none is set."""
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder that the cluster names; only a local session without one gets its own."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
+    shared = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="folioforge-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
         sc.setCheckpointDir(shared)
-        return
-    if not sc.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    sc.setCheckpointDir(os.path.join(tempfile.gettempdir(), "folioforge-checkpoints"))
+    return shared
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and forget its lineage.
+    """Write ``df`` as a table in the shared folder and read it from there.
 
-    A lost executor then costs a re-read, not a recomputation.
+    A lost executor then costs a re-read, not a recomputation.  ``discard``
+    deletes the table; what is left goes when the driver ends.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
+    spark = df.sparkSession
+    path = f"{scratch_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    p, fs = _file_system(spark, path)
+    fs.deleteOnExit(p)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``cut`` that nothing will read again."""
+    for t in tables:
+        p, fs = _file_system(t.sparkSession, t._scratch)
+        fs.delete(p, True)
