@@ -6,7 +6,7 @@ gear width together equal the span length asked for, so every string of that
 length holds a border that depends on nothing outside the string: texts that
 share it share the border, wherever insertions moved it.  Borders are
 deduplicated by digest; only texts with a shared border are looked at again,
-and there the exact strings are compared.
+and there the strings are compared by hashes of 128 bits together.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioforge.runtime import cut
+from folioforge.runtime import cut, discard
 
 #: Characters the gear hash covers.
 GEAR = 64
@@ -159,6 +159,15 @@ def _border_rows(rows: DataFrame, doc_type: T.DataType, span: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+#: Digests or ids that are broadcast at most; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def _small(t: DataFrame) -> DataFrame:
+    """Broadcast if a count shows few rows."""
+    return F.broadcast(t) if t.count() <= BROADCAST_ROWS else t
+
+
 def shared_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 240) -> DataFrame:
     """``(<id_col>, start_pos, end_pos)``: maximal stretches in which every
     character lies in a string of ``span`` characters that also occurs in a
@@ -167,6 +176,8 @@ def shared_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null, empty and shorter texts give nothing; a null id is no record.  Rows
     that repeat an id are one record with each other: a string that only they
     share counts as not shared.  Positions are code points, ends exclusive.
+    Strings are equal if two independent 64-bit hashes are, that of the border
+    inside and that of the string around it.
 
     Scale: step one shuffles one digest for about ``(span - 63) / 2``
     characters.  Step two compares, around each shared border, the whole
@@ -175,18 +186,19 @@ def shared_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     differ between records send their single windows.  No group is ever
     gathered: all three steps are counts by digest of the least and greatest
     id, so a passage that a third of all records hold costs no more than its
-    own rows.
+    own rows.  Texts are read where they lie in every step; they are shuffled
+    only for step three, and only if more than ``BROADCAST_ROWS`` records have
+    windows to look at.
     """
     if span < 2 * GEAR:
         raise ValueError(f"a span has at least {2 * GEAR} characters")
     rows = df.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).where(F.col("_doc").isNotNull()).where(F.length("_text") >= span)
     doc_type = rows.schema["_doc"].dataType
 
-    digests = cut(_border_rows(rows, doc_type, span))
     in_two = F.min("_doc") != F.max("_doc")
-    shared = digests.groupBy("_digest").agg(in_two.alias("_two")).where("_two").select("_digest")
-    marked = digests.join(shared, "_digest", "left_semi").groupBy("_doc").agg(F.collect_set("_digest").alias("_shared"))
-    contexts = cut(_contexts(rows.join(marked, "_doc"), doc_type, span))
+    shared = cut(_border_rows(rows, doc_type, span).groupBy("_digest").agg(in_two.alias("_two")).where("_two").select("_digest"))
+    contexts = cut(_contexts(rows, doc_type, span).join(_small(shared), "_digest", "left_semi"))
+    discard(shared)
 
     # one class for each digest and each text around it
     classes = contexts.groupBy("_digest", "_around").agg(F.min("_doc").alias("_lo"), F.max("_doc").alias("_hi"))
@@ -195,20 +207,23 @@ def shared_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.count(F.lit(1)).alias("_n"), F.min("_two").alias("_all_two")
     ).where((F.col("_n") > 1) & ~F.col("_all_two")).select("_digest", F.lit(True).alias("_open"))
     judged = contexts.join(classes, ["_digest", "_around"]).join(open_digests, "_digest", "left")
-    judged = cut(judged.select("_doc", "_start", "_windows", "_two", (F.col("_open") & (~F.col("_two") | (F.col("_doc") == F.col("_lo")))).alias("_look")))
+    look = F.col("_open") & (~F.col("_two") | (F.col("_doc") == F.col("_lo")))
+    judged = cut(judged.select("_doc", "_digest", "_start", "_windows", "_two", look.alias("_look")))
+    discard(contexts)
 
     settled = judged.where("_two").select("_doc", "_start", "_windows")
-    looks = judged.where("_look").groupBy("_doc").agg(F.collect_list(F.struct("_start", "_windows")).alias("_looks"))
-    windows = _windows(rows.join(looks, "_doc"), doc_type, span)
-    twice = windows.groupBy("_hash").agg(in_two.alias("_two")).where("_two").select("_hash")
-    single = windows.join(twice, "_hash", "left_semi").select("_doc", "_start", F.lit(1).alias("_windows"))
+    looks = cut(judged.where("_look").groupBy("_doc").agg(F.collect_list(F.struct("_digest", "_start", "_windows")).alias("_looks")))
+    windows = cut(_windows(rows.join(_small(looks), "_doc"), doc_type, span))
+    discard(looks)
+    twice = windows.groupBy("_digest", "_hash").agg(in_two.alias("_two")).where("_two").select("_digest", "_hash")
+    single = windows.join(twice, ["_digest", "_hash"], "left_semi").select("_doc", "_start", F.lit(1).alias("_windows"))
 
     found = settled.unionByName(single).groupBy("_doc").agg(F.collect_list(F.struct("_start", "_windows")).alias("_found"))
     return _merged(found, doc_type, span, id_col)
 
 
 def _contexts(rows: DataFrame, doc_type: T.DataType, span: int) -> DataFrame:
-    """For each shared border of each record: its windows and one hash of them all."""
+    """For each border of each record: its windows and one hash of them all."""
     schema = T.StructType([
         T.StructField("_doc", doc_type), T.StructField("_digest", T.LongType()), T.StructField("_around", T.LongType()),
         T.StructField("_start", T.IntegerType()), T.StructField("_windows", T.IntegerType()),
@@ -217,36 +232,42 @@ def _contexts(rows: DataFrame, doc_type: T.DataType, span: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, parts = [], []
-            for k, (text, known) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            for k, text in enumerate(batch.column(1).to_pylist()):
                 gears = _gears(codes_of(text))
                 _, digest, first, after = borders(gears, span)
                 with np.errstate(over="ignore"):
                     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(window_hash(gears, span) + np.uint64(1)))])
-                    here = np.isin(_signed(digest), np.array(known, np.int64))
-                    a, b, d = first[here], after[here], digest[here]
-                    whole = _mix(sums[b] - sums[a] + (b - a).astype(np.uint64))
-                at.append(np.full(len(d), k, np.int32))
-                parts.append((_signed(d), _signed(whole), a.astype(np.int32), (b - a).astype(np.int32)))
+                    whole = _mix(sums[after] - sums[first] + (after - first).astype(np.uint64))
+                at.append(np.full(len(digest), k, np.int32))
+                parts.append((_signed(digest), _signed(whole), first.astype(np.int32), (after - first).astype(np.int32)))
             if at:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(np.concatenate(at))), *(pa.array(np.concatenate(c)) for c in zip(*parts, strict=True))],
                     names=schema.names,
                 )
 
-    return rows.select("_doc", "_text", "_shared").mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _windows(rows: DataFrame, doc_type: T.DataType, span: int) -> DataFrame:
-    """The single windows of the stretches to look at."""
-    schema = T.StructType([T.StructField("_doc", doc_type), T.StructField("_hash", T.LongType()), T.StructField("_start", T.IntegerType())])
+    """The single windows of the stretches to look at, each with the digest of its border."""
+    schema = T.StructType([
+        T.StructField("_doc", doc_type), T.StructField("_digest", T.LongType()), T.StructField("_hash", T.LongType()), T.StructField("_start", T.IntegerType()),
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, (text, looks) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 hashes = window_hash(_gears(codes_of(text)), span)
-                start = np.unique(np.concatenate([np.arange(x["_start"], x["_start"] + x["_windows"]) for x in looks])).astype(np.int32)
+                n = len(hashes)
+                # rows may repeat an id with another text: places outside this one are of the other
+                looks = [(x["_digest"], x["_start"], min(x["_start"] + x["_windows"], n)) for x in looks if x["_start"] < n]
+                if not looks:
+                    continue
+                start = np.concatenate([np.arange(a, b) for _, a, b in looks])
+                digest = np.repeat(np.array([d for d, _, _ in looks], np.int64), [b - a for _, a, b in looks])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(np.full(len(start), k, np.int32))), pa.array(_signed(hashes[start])), pa.array(start)],
+                    [batch.column(0).take(pa.array(np.full(len(start), k, np.int32))), pa.array(digest), pa.array(_signed(hashes[start])), pa.array(start.astype(np.int32))],
                     names=schema.names,
                 )
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.functions.binding import let
+
 CHUNK_LIMIT = 2_000
 PAGE_LIMIT = 8_000
 OVERLAP = 200
@@ -46,14 +48,17 @@ def pieces_of(text: Column, limit: int, overlap: int = OVERLAP) -> Column:
     """
     news = F.regexp_extract_all(text, F.lit(cut_pattern(limit, overlap)), F.lit(0))
 
-    def piece(new: Column, no: Column) -> Column:
-        back = F.when(no > 0, F.right(F.get(news, no - 1), F.lit(overlap))).otherwise(F.lit(""))
-        return F.struct(
-            no.cast("int").alias("piece_no"), F.length(back).alias("overlap_len"), F.concat(back, new).alias("text")
-        )
+    def pieces(new: Column) -> Column:
+        def piece(own: Column, no: Column) -> Column:
+            back = F.when(no > 0, F.right(F.get(new, no - 1), F.lit(overlap))).otherwise(F.lit(""))
+            return F.struct(
+                no.cast("int").alias("piece_no"), F.length(back).alias("overlap_len"), F.concat(back, own).alias("text")
+            )
+
+        return F.transform(new, piece)
 
     whole = F.array(F.struct(F.lit(0).alias("piece_no"), F.lit(0).alias("overlap_len"), text.alias("text")))
-    return F.when(text.isNull(), None).when(F.length(text) <= limit, whole).otherwise(F.transform(news, piece))
+    return F.when(text.isNull(), None).when(F.length(text) <= limit, whole).otherwise(let(news, pieces))
 
 
 def split_items(

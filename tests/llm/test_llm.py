@@ -410,3 +410,18 @@ def test_spans_match_brute_force(spark):
     assert sorted(tuple(r) for r in spans.shared_spans(df).collect()) == sorted(want)
     assert spans.shared_ratio(df).count() == len(docs)
     assert spans.shared_spans(df.limit(0)).count() == 0
+
+
+def test_cutting_is_linear_in_an_item(spark):
+    """Four times the characters may take about four times as long, not sixteen times."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    took = {}
+    for n in (1, 1, 4):
+        df = spark.range(1).select(F.col("id"), F.array(F.repeat(F.lit("Some words stand here, and more.\n"), n * 10_000)).alias("items"))
+        began = time.time()
+        split.split_items(df, "id", "items", 2000).write.format("noop").mode("overwrite").save()
+        took[n] = time.time() - began
+    assert took[4] < 8 * took[1] + 1
