@@ -2,16 +2,20 @@
 
 The similarity of two records is the share of their union that their sets of
 ``shingle``-word runs have in common.  The candidates come from a sparse
-matrix product of record by n-gram: rows of one n-gram are multiplied block
-by block, the overlap counts of each pair add up, and pairs below bounds that
-follow from the two sizes are discarded.  Candidates are then compared set
-against set.
+matrix product of record by n-gram, cut down by bounds that follow from the
+sizes alone: of a record's n runs only the n - ceil(t n) + 1 rarest enter the
+product, as two records that share none of those cannot reach the threshold t.
+Rows of one n-gram are multiplied block by block, the overlap counts of each
+pair add up, and pairs below what their sizes demand are discarded.  What is
+left is compared set against set.  No similar pair is lost, whatever the texts.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -19,21 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioforge.runtime import cut
+from folioforge.runtime import cut, discard
 
 WORD = re.compile(r"[^\W_]+")
-#: Words of an n-gram of the product.
-GRAM = 5
-#: How many n-grams in a row one is taken from, by the least words of a record.
-WINDOWS = ((200, 6), (40, 4), (0, 2))
-#: Candidate ids that are broadcast at most; more are joined by a shuffle.
+#: Ids that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-#: Records that may hold an n-gram before it counts as frequent.
-FREQUENT = 24
-#: Of its n-grams, the share that a record has in common with a partner at least.
-LEAST_SHARE = 0.2
-#: Of the smaller record's n-grams, the share a pair has in common at least, by its least words.
-BOUNDS = ((40, 0.25), (0, 0.35))
+#: Records that one block of an n-gram's row holds at most, about.
+BLOCK = 1_000
+#: The frequency sketch has two to this power counters, so its size is fixed: one byte each.
+SKETCH_BITS = 24
+_PARTS = 256
 
 
 class _Hashes(dict):
@@ -79,29 +78,6 @@ def shingles_of(words: np.ndarray, shingle: int) -> np.ndarray:
     return np.unique(_runs(words, shingle))
 
 
-def anchors_of(words: np.ndarray) -> np.ndarray:
-    """The n-grams of a record that enter the product.
-
-    Of every ``window`` n-grams in a row the least hash is one, so two records
-    with ``GRAM + window - 1`` words in a row in common share an n-gram there;
-    the window of the longer record counts.
-    """
-    window = next(w for least, w in WINDOWS if len(words) >= least)
-    h = _runs(words, min(GRAM, len(words)))
-    n = len(h)
-    if n <= 1:
-        return h
-    width = min(window, n)
-    m = n - width + 1
-    least = h[:m].copy()
-    for j in range(1, width):
-        np.minimum(least, h[j: j + m], out=least)
-    chosen = np.zeros(n, bool)
-    for j in range(width):
-        chosen[j: j + m] |= h[j: j + m] == least
-    return np.unique(h[chosen])
-
-
 def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
@@ -112,8 +88,7 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(_signed(flat)))
 
 
-#: The kinds of records, by their code in internal ids.
-KINDS = ("filing", "extract")
+#: Bits of an internal id that hold the record's own id; the kind's code stands above.
 _SHIFT = 56
 
 
@@ -121,40 +96,52 @@ def filing_records(chunked: DataFrame) -> DataFrame:
     """Whole filings as records: all non-empty chunks joined by line ends."""
     text = F.array_join(F.filter("text_chunks", lambda c: c.isNotNull() & (c != "")), "\n")
     return chunked.select(
-        F.lit("filing").alias("record_kind"), F.col("chunked_id").cast("long").alias("record_id"),
+        F.lit("filing").alias("record_kind"), F.col("chunked_id").alias("record_id"),
         F.col("accession_number").alias("origin"), text.alias("text"), F.lit(0).alias("min_words"),
     )
 
 
 def extract_records(extracts: DataFrame, min_words: int = 20) -> DataFrame:
     return extracts.select(
-        F.lit("extract").alias("record_kind"), F.col("extract_id").cast("long").alias("record_id"),
+        F.lit("extract").alias("record_kind"), F.col("extract_id").alias("record_id"),
         F.col("document_key").alias("origin"), F.col("text"), F.lit(min_words).alias("min_words"),
     )
 
 
-def _coded(records: DataFrame) -> DataFrame:
-    """(_uid, origin, text, min_words): the kind's code stands in the high bits of the id."""
+def _kinds(records: DataFrame) -> list[str]:
+    """The kinds of records, in order; there may be 127."""
+    if not isinstance(records.schema["record_id"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise TypeError("record_id must be a whole number")
+    rows = records.select("record_kind").where(F.col("record_kind").isNotNull()).distinct().limit(128).collect()
+    if len(rows) > 127:
+        raise ValueError("more than 127 kinds of records")
+    return sorted(r[0] for r in rows)
+
+
+def _coded(records: DataFrame, kinds: list[str]) -> DataFrame:
+    """(_uid, _origin, _text, _least): the kind's code stands in the high bits of the id."""
     code = F.lit(None).cast("long")
-    for k, kind in enumerate(KINDS):
+    for k, kind in enumerate(kinds):
         code = F.when(F.col("record_kind") == kind, F.lit(k).cast("long")).otherwise(code)
-    uid = F.col("record_id") + F.shiftleft(code, _SHIFT)
+    own = F.col("record_id").cast("long")
+    fits = F.when((own >= 0) & (own < 1 << _SHIFT), own).when(own.isNotNull(), F.raise_error(F.lit("a record_id lies in [0, 2**56)")).cast("long"))
+    uid = fits + F.shiftleft(code, _SHIFT)
     return records.select(uid.alias("_uid"), F.col("origin").cast("string").alias("_origin"), F.col("text").alias("_text"), F.col("min_words").alias("_least")).where(
         F.col("_uid").isNotNull()
     )
 
 
-def _features(coded: DataFrame, shingle: int) -> DataFrame:
-    """(_uid, _origin, _n, _set, _grams): size and hash of the shingle set, the n-grams."""
+def _features(coded: DataFrame, kinds: list[str], shingle: int) -> DataFrame:
+    """(_uid, _origin, _n, _set, _runs): size and hash of the shingle set, and the set, in order."""
     schema = T.StructType([
         *(coded.schema[c] for c in ("_uid", "_origin")), T.StructField("_n", T.IntegerType()),
-        T.StructField("_set", T.LongType()), T.StructField("_grams", T.ArrayType(T.LongType())),
+        T.StructField("_set", T.LongType()), T.StructField("_runs", T.ArrayType(T.LongType())),
     ])
-    salts = [np.uint64(xxhash.xxh64_intdigest(k)) for k in KINDS]
+    salts = [np.uint64(xxhash.xxh64_intdigest(k)) for k in kinds]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, sizes, sets, grams = [], [], [], []
+            at, sizes, sets, every = [], [], [], []
             rows = zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), strict=True)
             for k, (uid, text, least) in enumerate(rows):
                 if not text:
@@ -162,110 +149,184 @@ def _features(coded: DataFrame, shingle: int) -> DataFrame:
                 words = words_of(text)
                 if len(words) < max(shingle, least or 0):
                     continue
-                salt = salts[uid >> _SHIFT]
                 with np.errstate(over="ignore"):
-                    runs = shingles_of(words, shingle)
-                    mixed = _mix(runs)
+                    runs = np.unique(_runs(words, shingle) ^ salts[uid >> _SHIFT])
                     at.append(k)
                     sizes.append(len(runs))
-                    sets.append(runs.sum(dtype=np.uint64) * np.uint64(3) + np.bitwise_xor.reduce(mixed) + salt)
-                    grams.append(anchors_of(words) ^ salt)
+                    sets.append(runs.sum(dtype=np.uint64) * np.uint64(3) + np.bitwise_xor.reduce(_mix(runs)))
+                    every.append(runs)
             take = pa.array(at, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(sizes, pa.int32()),
-                 pa.array(_signed(np.array(sets, np.uint64))), _lists(grams)],
+                 pa.array(_signed(np.array(sets, np.uint64))), _lists(every)],
                 names=schema.names,
             )
 
     return coded.select("_uid", "_origin", "_text", "_least").mapInArrow(run, schema)
 
 
-def _product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (_gram, _uid), sorted by _gram, to counted pairs (_a, _b, _common)."""
-    rest = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
-    for batch in batches:
-        cols = [np.concatenate([old, batch.column(c).to_numpy()]) for c, old in enumerate(rest)]
-        if not len(cols[0]):
-            continue
-        # the last n-gram may go on in the next batch; it has at most FREQUENT rows
-        done = int(np.argmax(cols[0] == cols[0][-1]))
-        rest = [c[done:] for c in cols]
-        if done:
-            yield _counted(*(c[:done] for c in cols))
-    yield _counted(*rest)
-
-
-def _counted(gram: np.ndarray, uid: np.ndarray) -> pa.RecordBatch:
-    found = [np.zeros((0, 2), np.int64)]
-    for step in range(1, len(gram)):
-        x = np.flatnonzero(gram[step:] == gram[:-step])
-        if not len(x):
-            break
-        pairs = np.stack([uid[x], uid[x + step]], 1)
-        found.append(np.sort(pairs[pairs[:, 0] != pairs[:, 1]], axis=1))  # a repeated row is no partner
-    pairs = np.concatenate(found)
-    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-    first = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(1)])) if len(pairs) else np.zeros(0, np.int64)
-    common = np.diff(np.append(first, len(pairs))).astype(np.int32)
-    a, b = (np.ascontiguousarray(pairs[first, c]) for c in (0, 1))
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(common)], names=["_a", "_b", "_common"])
-
-
-def _candidates(heads: DataFrame, threshold: float) -> DataFrame:
-    """(_a, _b) of records whose n-grams overlap enough and whose sizes allow the threshold.
-
-    The bound on the count: a similarity of 0.6 over runs of three words
-    leaves room for one edit in nine to twelve words, and between two edits at
-    least a quarter of the smaller record's n-grams stay common, more where
-    they are chosen closer.  A pair shares the part in ``BOUNDS`` at least,
-    but for one n-gram.
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All values of an array of lists, and the length of each list."""
+    return lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _bucket(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def _frequencies(features: DataFrame):
+    """A sketch of how often each n-gram occurs, on every worker.
+
+    Each task counts all of its n-grams in a fixed number of counters; the
+    counters of all tasks add up part by part, and one byte of each, on a
+    logarithmic scale, is kept.  A counter is never less than the count of an
+    n-gram that falls on it.
     """
-    rows = heads.select(F.explode("_grams").alias("_gram"), "_uid")
-    frequent = _small(cut(rows.groupBy("_gram").agg(F.count(F.lit(1)).alias("_in")).where(F.col("_in") > FREQUENT)))
-
-    rare = rows.join(frequent, "_gram", "left_anti").select("_gram", "_uid")
-    blocks = rare.repartition("_gram").sortWithinPartitions("_gram").mapInArrow(_product, "_a bigint, _b bigint, _common int")
-    counted = blocks.groupBy("_a", "_b").agg(F.sum("_common").alias("_common"))
-
-    # records made of frequent n-grams for a good part: the rarest of those decide
-    sized = heads.select("_uid", "_n", F.size("_grams").alias("_size"))
-    least = F.greatest(F.ceil(F.col("_size") * LEAST_SHARE), F.lit(1)).cast("int")
-    often = rows.join(frequent, "_gram").groupBy("_uid").agg(F.sort_array(F.collect_list(F.struct("_in", "_gram"))).alias("_often"))
-    hot = cut(often.join(sized, "_uid"))
-    massy = hot.select("_uid", F.size("_often").alias("_hot")).groupBy("_uid").agg(F.max("_hot").alias("_hot"))
-    often = hot.where(F.size("_often") >= least).select(
-        "_uid", "_n", "_size", F.transform("_often", lambda g: F.shiftright(g["_gram"], 32).cast("int")).alias("_all"),
-        F.explode(F.slice("_often", F.lit(1), F.size("_often") - least + 1)).alias("_g"),
-    ).select("_uid", "_n", "_size", "_all", "_g._gram")
-    x = often.select("_gram", F.col("_uid").alias("_a"), F.col("_n").alias("_na"), F.col("_size").alias("_sa"), F.col("_all").alias("_fa"))
-    y = often.select("_gram", F.col("_uid").alias("_b"), F.col("_n").alias("_nb"), F.col("_size").alias("_sb"), F.col("_all").alias("_fb"))
-    fits = F.least("_na", "_nb") >= F.greatest("_na", "_nb") * threshold - 1e-9
-    share = F.lit(BOUNDS[-1][1])
-    for words, part in reversed(BOUNDS[:-1]):
-        share = F.when(F.least("_na", "_nb") >= words, F.lit(part)).otherwise(share)
-    wanted = F.ceil(F.least("_sa", "_sb") * share) - 1
-    common = F.size(F.array_intersect("_fa", "_fb"))
-    # what the rest of the two can add, the rare n-grams, is known from the product
-    rest = F.least(F.col("_sa") - F.size("_fa"), F.col("_sb") - F.size("_fb"))
-    massed = x.join(y, "_gram").where((F.col("_a") < F.col("_b")) & fits).select("_a", "_b", common.alias("_common"), (common + rest >= wanted).alias("_may")).where("_may")
-    massed = massed.select("_a", "_b", "_common", F.lit(True).alias("_massed")).distinct()
-
-    # heads may hold a record twice, if its id stands in two rows of different texts
-    once = sized.groupBy("_uid").agg(F.max("_n").alias("_n"), F.min("_size").alias("_size")).join(massy, "_uid", "left")
-    once = once.select("_uid", "_n", "_size", F.coalesce("_hot", F.lit(0)).alias("_hot"))
-    sa = once.select(F.col("_uid").alias("_a"), F.col("_n").alias("_na"), F.col("_size").alias("_sa"), F.col("_hot").alias("_ha"))
-    sb = once.select(F.col("_uid").alias("_b"), F.col("_n").alias("_nb"), F.col("_size").alias("_sb"), F.col("_hot").alias("_hb"))
-    total = counted.select("_a", "_b", "_common", F.lit(False).alias("_massed")).unionByName(massed)
-    total = total.groupBy("_a", "_b").agg(F.sum("_common").alias("_common"), F.max("_massed").alias("_massed"))
-    unknown = F.when(F.col("_massed"), F.lit(0)).otherwise(F.least("_ha", "_hb"))
-    enough = F.col("_common") >= F.greatest(F.lit(1), wanted - unknown)
-    some = total.join(sa, "_a").join(sb, "_b").where(fits & enough).select("_a", "_b", wanted.alias("_wanted"), "_common", "_massed")
-    # of these few, the common frequent n-grams are counted too
-    none = F.array().cast("array<int>")
-    known = hot.groupBy("_uid").agg(F.first(F.transform("_often", lambda g: F.shiftright(g["_gram"], 32).cast("int"))).alias("_all"))
-    fa, fb = known.select(F.col("_uid").alias("_a"), F.col("_all").alias("_fa")), known.select(F.col("_uid").alias("_b"), F.col("_all").alias("_fb"))
-    more = F.when(F.col("_massed"), F.lit(0)).otherwise(F.size(F.array_intersect(F.coalesce("_fa", none), F.coalesce("_fb", none))))
-    return some.join(fa, "_a", "left").join(fb, "_b", "left").where(F.col("_common") + more >= F.col("_wanted")).select("_a", "_b")
+    width = (1 << SKETCH_BITS) // _PARTS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        local = np.zeros(1 << SKETCH_BITS, np.uint32)
+        for batch in batches:
+            place, n = np.unique(_bucket(_flat(batch.column(0))[0]), return_counts=True)
+            local[place] += n.astype(np.uint32)
+        for part in range(_PARTS):
+            own = local[part * width: (part + 1) * width]
+            if own.any():
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([zlib.compress(own.tobytes(), 1)])], names=["_part", "_counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(part: int, total: np.ndarray) -> pa.RecordBatch:
+            level = np.minimum(np.ceil(8 * np.log2(total + 1.0)), 255).astype(np.uint8)
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([zlib.compress(level.tobytes(), 1)])], names=["_part", "_counts"])
+
+        at, total = None, np.zeros(width, np.float64)
+        for batch in batches:
+            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if at is not None and part != at:
+                    yield out(at, total)
+                    total = np.zeros(width, np.float64)
+                at = part
+                total += np.frombuffer(zlib.decompress(counts), np.uint32)
+        if at is not None:
+            yield out(at, total)
+
+    schema = "_part int, _counts binary"
+    parts = features.select("_runs").mapInArrow(count, schema).repartition("_part").sortWithinPartitions("_part").mapInArrow(add, schema)
+    levels = np.zeros(1 << SKETCH_BITS, np.uint8)
+    for part, level in parts.collect():  # one byte for each counter, whatever the corpus
+        levels[part * width: (part + 1) * width] = np.frombuffer(zlib.decompress(level), np.uint8)
+    return features.sparkSession.sparkContext.broadcast(levels)
+
+
+def prefix_size(n: np.ndarray, threshold: float) -> np.ndarray:
+    """How many of n runs, in any order common to all records, two records must look at:
+    if they share none of those, fewer than ceil(t n) are left to share."""
+    return n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+
+
+def _prefixes(heads: DataFrame, frequencies, threshold: float) -> DataFrame:
+    """(_gram, _uid, _side): the rarest n-grams of each record, and in ``_side`` its size.
+
+    The order is that of the sketch, then of the hash; any order common to all
+    records keeps every pair.  An n-gram of more than ``BLOCK`` records is cut
+    into blocks of records; a record's row goes once to each pair of blocks
+    that holds its own, so no task multiplies more than two blocks.
+    """
+    levels = np.arange(256)
+    parts = np.maximum(1, np.ceil((2.0 ** (levels / 8) - 1) / BLOCK)).astype(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch = frequencies.value
+        for batch in batches:
+            flat, sizes = _flat(batch.column(1))
+            uid = batch.column(0).to_numpy(zero_copy_only=False)
+            record = np.repeat(np.arange(len(sizes)), sizes)
+            level = sketch[_bucket(flat)]
+            order = np.lexsort((flat, level, record))
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            order = order[place < np.repeat(prefix_size(sizes, threshold), sizes)]
+            gram, who, blocks = flat[order], record[order], parts[level[order]]
+            hot = blocks > 1
+            keys, owners, sides = [gram[~hot]], [who[~hot]], [np.zeros(int((~hot).sum()), np.int64)]
+            if hot.any():
+                g, w, n = gram[hot], who[hot], blocks[hot]
+                own = (_mix(uid[w].view(np.uint64).copy()) % n.astype(np.uint64)).astype(np.int64)
+                other = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                g, w, own = np.repeat(g, n), np.repeat(w, n), np.repeat(own, n)
+                with np.errstate(over="ignore"):
+                    pair = np.minimum(own, other).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.maximum(own, other).astype(np.uint64) + np.uint64(1)
+                    keys.append(_mix(g + _mix(pair)))
+                owners.append(w)
+                sides.append(np.where(own == other, 0, np.where(own < other, 1, 2)))
+            who = np.concatenate(owners)
+            side = sizes[who] * 4 + np.concatenate(sides)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_signed(np.concatenate(keys))), pa.array(uid[who]), pa.array(side)], names=["_gram", "_uid", "_side"]
+            )
+
+    return heads.select("_uid", "_runs").mapInArrow(run, "_gram bigint, _uid bigint, _side bigint")
+
+
+def _product(threshold: float):
+    """Rows (_gram, _uid, _side), sorted by _gram, to counted pairs (_a, _b, _na, _nb, _common) of sizes that allow the threshold."""
+
+    def counted(gram: np.ndarray, uid: np.ndarray, side: np.ndarray) -> pa.RecordBatch:
+        n, side = side >> 2, side & 3
+        found = [np.zeros((0, 4), np.int64)]
+        for step in range(1, len(gram)):
+            x = np.flatnonzero(gram[step:] == gram[:-step])
+            if not len(x):
+                break
+            y = x + step
+            small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+            # a repeated row is no partner; of two blocks only rows of different ones are
+            fits = (small >= threshold * large - 1e-9) & (uid[x] != uid[y]) & ((side[x] == 0) | (side[x] != side[y]))
+            x, y = x[fits], y[fits]
+            turned = uid[x] > uid[y]
+            a, b = np.where(turned, y, x), np.where(turned, x, y)
+            found.append(np.stack([uid[a], uid[b], n[a], n[b]], 1))
+        pairs = np.concatenate(found)
+        pairs = pairs[np.lexsort(pairs.T[::-1])]
+        first = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(1)])) if len(pairs) else np.zeros(0, np.int64)
+        common = np.diff(np.append(first, len(pairs)))
+        columns = [np.ascontiguousarray(pairs[first, c]) for c in range(4)] + [common.astype(np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["_a", "_b", "_na", "_nb", "_common"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = [np.zeros(0, np.int64)] * 3
+        for batch in batches:
+            cols = [np.concatenate([old, batch.column(c).to_numpy()]) for c, old in enumerate(rest)]
+            if not len(cols[0]):
+                continue
+            # the last n-gram may go on in the next batch
+            done = int(np.argmax(cols[0] == cols[0][-1]))
+            rest = [c[done:] for c in cols]
+            if done:
+                yield counted(*(c[:done] for c in cols))
+        yield counted(*rest)
+
+    return run
+
+
+def _candidates(heads: DataFrame, frequencies, threshold: float) -> DataFrame:
+    """(_a, _b) of records whose sizes and common n-grams allow the threshold.
+
+    Records of n and m runs are similar enough only if they share
+    ceil(t (n + m) / (1 + t)) of them.  Of the two prefixes one ends first, and
+    what is common beyond its end lies in that record's rest; so all but the
+    larger of the two rests must have been counted.
+    """
+    rows = _prefixes(heads, frequencies, threshold)
+    pairs = rows.repartition("_gram").sortWithinPartitions("_gram").mapInArrow(
+        _product(threshold), "_a bigint, _b bigint, _na bigint, _nb bigint, _common bigint"
+    )
+    total = pairs.groupBy("_a", "_b", "_na", "_nb").agg(F.sum("_common").alias("_common"))
+
+    def rest(n: str):
+        return F.ceil(F.col(n) * F.lit(float(threshold)) - 1e-9) - 1
+
+    both = F.ceil((F.col("_na") + F.col("_nb")) * F.lit(threshold / (1 + threshold)) - 1e-9)
+    return total.where(F.col("_common") >= both - F.greatest(rest("_na"), rest("_nb"))).select("_a", "_b").distinct()
 
 
 def _small(ids: DataFrame) -> DataFrame:
@@ -273,122 +334,124 @@ def _small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _verified(coded: DataFrame, pairs: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """The pairs whose whole shingle sets are similar enough."""
-    # broadcast, so the texts of all other records are not shuffled
-    ids = _small(cut(pairs.select(F.explode(F.array("_a", "_b")).alias("_uid")).distinct()))
-    schema = T.StructType([T.StructField("_uid", T.LongType()), T.StructField("_runs", T.ArrayType(T.LongType()))])
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            with np.errstate(over="ignore"):
-                runs = [shingles_of(words_of(t), shingle) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(runs)], names=["_uid", "_runs"])
-
-    texts = coded.join(ids, "_uid", "left_semi").select("_uid", "_text").mapInArrow(sets, schema)
-    texts = cut(texts)
-    both = pairs.join(texts.select(F.col("_uid").alias("_a"), F.col("_runs").alias("_x")), "_a").join(
-        texts.select(F.col("_uid").alias("_b"), F.col("_runs").alias("_y")), "_b"
-    ).select("_a", "_b", "_x", "_y")
+def _verified(features: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """(_a, _sa, _b, _sb): the pairs whose whole shingle sets are similar enough, with the hashes of those sets."""
+    ids = cut(pairs.select(F.explode(F.array("_a", "_b")).alias("_uid")).distinct())
+    sets = cut(features.join(_small(ids), "_uid", "left_semi").select("_uid", "_set", "_runs").dropDuplicates(["_uid", "_set"]))
+    both = pairs.join(sets.select(F.col("_uid").alias("_a"), F.col("_set").alias("_sa"), F.col("_runs").alias("_x")), "_a").join(
+        sets.select(F.col("_uid").alias("_b"), F.col("_set").alias("_sb"), F.col("_runs").alias("_y")), "_b"
+    ).select("_a", "_sa", "_b", "_sb", "_x", "_y")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            for x, y in zip(batch.column(4), batch.column(5), strict=True):
                 x, y = x.values.to_numpy(), y.values.to_numpy()
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(common >= threshold * (len(x) + len(y) - common) - 1e-9)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["_a", "_b"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in range(4)], names=["_a", "_sa", "_b", "_sb"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(compare, "_a bigint, _b bigint")
+    links = cut(both.mapInArrow(compare, "_a bigint, _sa bigint, _b bigint, _sb bigint"))
+    discard(ids, sets)
+    return links
 
 
-def _classes(records: DataFrame, shingle: int, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Members (_uid, _origin, _head, _copies) and links (_a, _b) between heads."""
-    coded = _coded(records)
-    features = cut(_features(coded, shingle))
-    classes = features.groupBy("_set", "_n").agg(F.min("_uid").alias("_head"), F.countDistinct("_uid").alias("_copies"))
-    members = cut(features.select("_uid", "_origin", "_set", "_n").join(classes, ["_set", "_n"]).select("_uid", "_origin", "_head", "_copies").distinct())
-    later = _small(members.where(F.col("_uid") != F.col("_head")).select("_uid"))
-    heads = features.join(later, "_uid", "left_anti").select("_uid", "_n", "_grams")
-    pairs = cut(_candidates(heads, threshold))
-    return members, _verified(coded, pairs, shingle, threshold)
+def _classes(records: DataFrame, kinds: list[str], shingle: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Members (_uid, _origin, _head, _set, _copies) and links (_a, _sa, _b, _sb) between heads.
+
+    A class is named by its least id and the hash of its set, as an id may
+    stand in rows of several texts.
+    """
+    features = cut(_features(_coded(records, kinds), kinds, shingle))
+    named = features.select("_uid", "_origin", "_set", "_n")
+    classes = named.groupBy("_set", "_n").agg(F.min("_uid").alias("_head"), F.countDistinct("_uid").alias("_copies"))
+    members = cut(named.join(classes, ["_set", "_n"]).select("_uid", "_origin", "_head", "_set", "_copies").distinct())
+    copies = cut(members.where(F.col("_uid") != F.col("_head")).select("_uid", "_set"))
+    heads = features.join(_small(copies), ["_uid", "_set"], "left_anti")
+    frequencies = _frequencies(features)
+    pairs = cut(_candidates(heads, frequencies, threshold))
+    links = _verified(features, pairs, threshold)
+    discard(copies, pairs, features)
+    return members, links
 
 
 def near_duplicate_pairs(records: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """``(record_kind, id_a, id_b)`` with id_a < id_b: all pairs of records of one
     kind and different origin whose shingle sets share ``threshold`` of their union.
 
-    ``records`` has ``record_kind, record_id BIGINT, origin, text, min_words``
-    (see ``filing_records`` and ``extract_records``); ids lie in [0, 2**56) and
-    name a record of a kind; rows that repeat an id
-    are one record, with all their texts.  Null
-    texts, and texts of fewer words than a shingle or ``min_words``, have no
-    pairs; a null origin differs from every origin; a null id or another kind
-    is no record.  Empty tables give an empty result.
-
-    Which pairs are found: every candidate is compared in full, so no wrong
-    pair comes out.  A pair is a candidate if its common n-grams reach the part
-    in ``BOUNDS`` (but for one).  Two records share an n-gram wherever 6 words
-    in a row are common (under 40 words), 8 (under 200) or 10 (longer).  This is
-    an argument about edits of words, not a proof for any two sets: a pair at
-    the very threshold whose edits lie evenly, one in nine words, can fall
-    short in long records.  Results equalled the full comparison of all pairs
-    wherever it was made.
+    ``records`` has ``record_kind, record_id, origin, text, min_words``
+    (see ``filing_records`` and ``extract_records``).  Ids are whole numbers in
+    [0, 2**56) that name a record of a kind, any others are an error; there may
+    be 127 kinds.  Rows that repeat an id are one record, with all their texts.
+    Null texts, and texts of fewer words than a shingle or ``min_words``, have
+    no pairs; a null origin differs from every origin; a null id or kind is no
+    record.  Empty tables give an empty result.
+
+    Which pairs are found: all.  Both bounds, on the n-grams that are
+    multiplied and on the overlap counted, follow from the two sizes and hold
+    for any two sets; every pair left is compared in full.  Sets are those of
+    64-bit hashes of runs.
 
     Scale: records with equal sets are one class, and only classes are
-    multiplied.  N-grams in more than ``FREQUENT`` records are multiplied
-    apart, only between records that consist of them to ``LEAST_SHARE``, and
-    of those only the rarest that a pair cannot do without.  The result lists
-    every pair, so it grows with the square of a group.
+    multiplied.  A sketch of fixed size over all n-grams puts the frequent
+    ones last, so few records meet in one row of the product, and rows of many
+    records are multiplied in blocks.  The result lists every pair, so it
+    grows with the square of a group; ``near_duplicate_groups`` does not.
     """
-    members, links = _classes(records, shingle, threshold)
-    a = members.select(F.col("_head").alias("_a"), F.col("_uid").alias("_ra"), F.col("_origin").alias("_oa"))
-    b = members.select(F.col("_head").alias("_b"), F.col("_uid").alias("_rb"), F.col("_origin").alias("_ob"))
-    between = links.join(a, "_a").join(b, "_b").select("_ra", "_rb", "_oa", "_ob")
+    kinds = _kinds(records)
+    members, links = _classes(records, kinds, shingle, threshold)
+    a = members.select(F.col("_head").alias("_a"), F.col("_set").alias("_sa"), F.col("_uid").alias("_ra"), F.col("_origin").alias("_oa"))
+    b = members.select(F.col("_head").alias("_b"), F.col("_set").alias("_sb"), F.col("_uid").alias("_rb"), F.col("_origin").alias("_ob"))
+    between = links.join(a, ["_a", "_sa"]).join(b, ["_b", "_sb"]).select("_ra", "_rb", "_oa", "_ob")
     copied = members.where(F.col("_copies") > 1)
-    x = copied.select("_head", F.col("_uid").alias("_ra"), F.col("_origin").alias("_oa"))
-    y = copied.select("_head", F.col("_uid").alias("_rb"), F.col("_origin").alias("_ob"))
-    within = x.join(y, "_head").where(F.col("_ra") < F.col("_rb")).select("_ra", "_rb", "_oa", "_ob")
+    x = copied.select("_head", "_set", F.col("_uid").alias("_ra"), F.col("_origin").alias("_oa"))
+    y = copied.select("_head", "_set", F.col("_uid").alias("_rb"), F.col("_origin").alias("_ob"))
+    within = x.join(y, ["_head", "_set"]).where(F.col("_ra") < F.col("_rb")).select("_ra", "_rb", "_oa", "_ob")
     other = F.col("_oa").isNull() | F.col("_ob").isNull() | (F.col("_oa") != F.col("_ob"))
-    pairs = between.unionByName(within).where(other).select(F.least("_ra", "_rb").alias("_ra"), F.greatest("_ra", "_rb").alias("_rb"))
-    return pairs.distinct().select(_kind_of("_ra"), _id_of("_ra").alias("id_a"), _id_of("_rb").alias("id_b"))
+    pairs = between.unionByName(within).where(other & (F.col("_ra") != F.col("_rb"))).select(F.least("_ra", "_rb").alias("_ra"), F.greatest("_ra", "_rb").alias("_rb"))
+    return pairs.distinct().select(_kind_of("_ra", kinds), _id_of("_ra").alias("id_a"), _id_of("_rb").alias("id_b"))
 
 
-def _kind_of(uid: str):
-    return F.get(F.array(*(F.lit(k) for k in KINDS)), F.shiftright(uid, _SHIFT).cast("int")).alias("record_kind")
+def _kind_of(uid: str, kinds: list[str]):
+    every = F.array(*(F.lit(k) for k in kinds)) if kinds else F.array().cast("array<string>")
+    return F.get(every, F.shiftright(uid, _SHIFT).cast("int")).alias("record_kind")
 
 
 def _id_of(uid: str):
     return F.col(uid).bitwiseAND(F.lit((1 << _SHIFT) - 1))
 
 
-def near_duplicate_groups(records: DataFrame, shingle: int = 5, threshold: float = 0.8, max_rounds: int = 50) -> DataFrame:
+def near_duplicate_groups(records: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """``(record_kind, record_id, group_id, links)``: one row for each record long
     enough; the group is named by its least id, ``links`` counts the classes of
     other texts that are linked to the record's own.
 
     Groups are connected components over classes: every round each class takes
-    the least name among its neighbours and their names, through checkpoints,
-    so rounds grow with the logarithm of a group's diameter and no group or
-    link ever reaches the driver.
+    the least name among its neighbours and their names, through scratch
+    tables, until no name moves; rounds grow with the logarithm of a group's
+    diameter and no group or link ever reaches the driver.
     """
-    members, links = _classes(records, shingle, threshold)
-    edges = cut(links.select("_a", "_b").unionByName(links.select(F.col("_b").alias("_a"), F.col("_a").alias("_b"))).distinct())
+    kinds = _kinds(records)
+    members, links = _classes(records, kinds, shingle, threshold)
+    # an id that stands in rows of several texts ties their classes
+    several = members.groupBy("_uid").agg(F.collect_set("_head").alias("_heads")).where(F.size("_heads") > 1)
+    tied = several.select(F.array_min("_heads").alias("_a"), F.explode("_heads").alias("_b")).where(F.col("_a") != F.col("_b"))
+    one_way = links.select("_a", "_b").unionByName(tied)
+    edges = cut(one_way.unionByName(one_way.select(F.col("_b").alias("_a"), F.col("_a").alias("_b"))).distinct())
     names = cut(edges.groupBy("_a").agg(F.min("_b").alias("_m")).select("_a", F.least("_a", "_m").alias("_name")))
-    for _ in range(max_rounds):
+    while True:
         near = edges.join(names.select(F.col("_a").alias("_b"), F.col("_name").alias("_theirs")), "_b").groupBy("_a").agg(F.min("_theirs").alias("_theirs"))
         new = names.join(near, "_a").select("_a", "_name", F.least("_name", "_theirs").alias("_new"))
         # pointer jumping: take the name of one's name
         jump = new.select(F.col("_a").alias("_new"), F.col("_new").alias("_far"))
         new = cut(new.join(jump, "_new", "left").select("_a", "_name", F.least("_new", F.coalesce("_far", "_new")).alias("_new")))
-        names, moved = new.select("_a", F.col("_new").alias("_name")), new.where(F.col("_name") != F.col("_new")).limit(1).count()
+        discard(names)
+        moved = new.where(F.col("_name") != F.col("_new")).limit(1).count()
+        names = cut(new.select("_a", F.col("_new").alias("_name")))
+        discard(new)
         if not moved:
             break
-    degree = edges.groupBy("_a").agg(F.count(F.lit(1)).alias("_links"))
-    of = names.join(degree, "_a").select(F.col("_a").alias("_head"), "_name", "_links")
-    out = members.select("_uid", "_head").distinct().join(of, "_head", "left")
-    return out.select(
-        _kind_of("_uid"), _id_of("_uid").alias("record_id"),
-        F.coalesce("_name", "_head").bitwiseAND(F.lit((1 << _SHIFT) - 1)).alias("group_id"), F.coalesce("_links", F.lit(0)).alias("links"),
-    )
+    degree = links.select("_a", "_b").unionByName(links.select(F.col("_b").alias("_a"), F.col("_a").alias("_b"))).groupBy("_a").agg(F.count(F.lit(1)).alias("_links"))
+    of = names.join(degree, "_a", "left").select(F.col("_a").alias("_head"), "_name", F.coalesce("_links", F.lit(0)).alias("_links"))
+    out = members.join(of, "_head", "left").groupBy("_uid").agg(F.min(F.coalesce("_name", "_head")).alias("_name"), F.max(F.coalesce("_links", F.lit(0))).alias("_links"))
+    return out.select(_kind_of("_uid", kinds), _id_of("_uid").alias("record_id"), _id_of("_name").alias("group_id"), F.col("_links").alias("links"))
