@@ -98,7 +98,7 @@ def packed(pieces: Column, size: int = CHUNK_SIZE) -> Column:
 
 
 #: Words that are no content between rows of a table.
-_GAP_WORDS = ("capital", "allocation", "aggressive", "moderate", "conservative")
+GAP_WORDS = ("capital", "allocation", "aggressive", "moderate", "conservative")
 
 
 def _row(line: str) -> bool:
@@ -120,7 +120,7 @@ def close_table_gaps(chunk: str) -> str:
             kept: list[str] = []
             for line in gap:
                 bare = line.strip()
-                if len(bare) > 10 and bare.lower() not in _GAP_WORDS:
+                if len(bare) > 10 and bare.lower() not in GAP_WORDS:
                     kept.append(line)
                 elif not bare and (not kept or kept[-1].strip()):
                     kept.append("")
@@ -129,27 +129,92 @@ def close_table_gaps(chunk: str) -> str:
     return "\n".join(out + lines[rows[-1] + 1 :])
 
 
-@F.pandas_udf(T.StringType())
-def _gaps_closed(s: pd.Series) -> pd.Series:
-    return s.map(lambda c: close_table_gaps(c) if c.count("|") > 1 else c)
+#: A private sign that stands for rows of a table between prose lines.
+_ROWS = "\ue002"
+
+
+def _runs_of_sentences(lines: Column, sentences: Sentences) -> Column:
+    """ARRAY<ARRAY<STRING>>: for each run of lines between table rows, the sentences of its long prose lines, split as one text."""
+    kept = F.filter(F.transform(lines, lambda x: F.when(is_table_row(x), F.lit(_ROWS)).when(needs_sentences(x), x)), lambda x: x.isNotNull())
+    runs = F.split(F.array_join(kept, "\n"), rf"\n?{_ROWS}(?:\n{_ROWS})*\n?", -1)
+    return F.transform(runs, sentences)
+
+
+def _dealt(lines: list[str], found: list[str]) -> dict[str, list[str]]:
+    """Sentences of a run, dealt out to its lines by length; of equal lines the last one's count."""
+    total = sum(map(len, lines))
+    out, start = {}, 0
+    for line in lines:
+        share = max(1, len(found) * len(line) // total)
+        out[line] = found[start : start + share] or [line]
+        start += share
+    return out
+
+
+def _chunks_of(lines: list[str], rows: list[bool], long: list[bool], found: list[list[str]], size: int, faithful: bool) -> list[str]:
+    """One text's chunks from its lines, what each line is, and the sentences of runs (``faithful``) or lines."""
+    batches: list[list[str]] = [[]]
+    batch_of, in_rows = [], False
+    for line, row, splits in zip(lines, rows, long, strict=True):
+        if row:
+            batches += [] if in_rows else [[]]
+            in_rows = True
+        elif splits:
+            batches[-1].append(line)
+            in_rows = False
+        batch_of.append(len(batches) - 1)
+    dealt = [_dealt(b, f) for b, f in zip(batches, found, strict=True)] if faithful else []
+    pieces: list[str] = []
+    table: list[str] = []
+    for i, line in enumerate(lines):
+        if rows[i]:
+            table.append(line)
+            continue
+        if table:
+            pieces.append("\n".join(table))
+            table = []
+        pieces += [line] if not long[i] else dealt[batch_of[i]][line] if faithful else found[i]
+    if table:
+        pieces.append("\n".join(table))
+    out, pack, n = [], [], 0
+    for piece in pieces:
+        if n + len(piece) > size:
+            out.append(pack)
+            pack, n = [], 0
+        pack.append(piece)
+        n += len(piece)
+    chunks = ("\n\n".join(c) for c in (*out, pack))
+    return [close_table_gaps(c) for c in chunks if len(c.strip()) > SMALLEST]
 
 
 def chunk_texts(
-    df: DataFrame, id_cols: list[str], text_col: str, size: int = CHUNK_SIZE, sentences: Sentences = sentences_of
+    df: DataFrame, id_cols: list[str], text_col: str, size: int = CHUNK_SIZE, sentences: Sentences = sentences_of, faithful: bool = True
 ) -> DataFrame:
     """``(<id_cols>, chunk_no, chunk)``: the chunks of every text, in order.
 
-    Chunks of at most 100 characters are dropped, so short, empty and null
-    texts have none.  ``sentences`` turns a text column into an array of
-    sentences; another provider can be given.
+    Runs of table rows stay together, long prose lines are split into
+    sentences, and pieces are packed greedily.  Chunks of at most 100
+    characters are dropped, so short, empty and null texts have none.
+
+    If ``faithful``, the long lines between two tables are split as one text
+    and its sentences dealt out by length (``proportional_sentences``), which
+    can lose some; otherwise every line is split by itself and none is lost.
+    ``sentences`` turns a text column into an array of sentences; another
+    provider can be given.  Lines and sentences are found in the JVM, one
+    Arrow pass assembles the chunks; its time is linear in a text.
     """
     d = df.select(*id_cols, sanitized(F.col(text_col)).alias("_text"))
     d = d.select(*id_cols, content_lines(F.col("_text")).alias("_lines"))
-    d = d.select(*id_cols, pieces_of_lines(F.col("_lines"), sentences).alias("_pieces"))
-    d = d.select(*id_cols, F.filter(packed(F.col("_pieces"), size), lambda c: F.length(stripped(c)) > SMALLEST).alias("_chunks"))
+    lines = F.col("_lines")
+    found = _runs_of_sentences(lines, sentences) if faithful else F.transform(lines, lambda x: F.when(needs_sentences(x), sentences(x)).otherwise(F.array(x)))
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def assembled(lines: pd.Series, rows: pd.Series, long: pd.Series, found: pd.Series) -> pd.Series:
+        return pd.Series([_chunks_of(list(x), list(r), list(n), [list(s) for s in f], size, faithful) for x, r, n, f in zip(lines, rows, long, found, strict=True)], dtype=object)
+
+    d = d.select(*id_cols, assembled(lines, F.transform(lines, is_table_row), F.transform(lines, needs_sentences), found).alias("_chunks"))
     # the outer form: an inner one would add a test of the array's size, evaluated by inlining all steps above
-    d = d.select(*id_cols, F.posexplode_outer("_chunks").alias("chunk_no", "_chunk")).where(F.col("_chunk").isNotNull())
-    return d.select(*id_cols, "chunk_no", _gaps_closed("_chunk").alias("chunk"))
+    return d.select(*id_cols, F.posexplode_outer("_chunks").alias("chunk_no", "chunk")).where(F.col("chunk").isNotNull())
 
 
 def chunk_with_context(chunks: Column, start: Column, end: Column | None = None, context_size: int = 500, faithful: bool = True) -> Column:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import importlib.util
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioforge.functions.classes import WS
 from folioforge.functions.text import sentences_of, stripped, text_or_empty
+from folioforge.runtime import cut
 
 #: Patterns of contexts, in order.
 TABLE = [r"(?mdi)\|\s*[^|]+\s*\|", r"(?mdi)\t.*\t", r"(?mdi)^\s*\$[\d,]+\.?\d*\s*$", r"(?mdi)^\s*\d+\.\d+%\s*$", r"(?mdi)\b(?:Total|Subtotal|Sum)\b.*\$"]
@@ -57,6 +59,26 @@ def paragraphs_of(text: Column) -> Column:
     return F.transform(F.split(text_or_empty(text), rf"\n{WS}*\n", -1), stripped)
 
 
+#: Names that are searched one by one; more make an automaton.
+LITERAL_NAMES = 16
+
+
+def _found_in(names: tuple[str, ...]) -> Callable[[Column], Column]:
+    """``names_in`` of a given list, whatever its length."""
+    if len(names) <= LITERAL_NAMES or importlib.util.find_spec("ahocorasick") is None:
+        every = F.array(*(F.lit(n) for n in names)).cast("array<string>")
+        return lambda text: names_in(text, every)
+    held: list = []
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def find(texts: pd.Series) -> pd.Series:
+        if not held:
+            held.append(_finder(list(dict.fromkeys((n.lower(), k) for k, n in enumerate(names) if n))))
+        return texts.map(lambda t: [names[k] for k in held[0](t.lower())] if t else [])
+
+    return find
+
+
 @dataclass(frozen=True)
 class Extractor:
     """What to look for: names, and a provider of sentences."""
@@ -71,16 +93,17 @@ class Extractor:
         """``(document_key, chunk_index, sentence_index, text, context_type, entity_names_found, quality_score)``.
 
         Sentences of at least 20 characters keep their index in the chunk,
-        paragraphs of at least 50 have -1.  Null chunks have neither.  The
-        names are a literal of the plan, so nothing is joined or shuffled.
+        paragraphs of at least 50 have -1.  Null chunks have neither.  A few
+        names are a literal of the plan, more are one search automaton in each
+        worker; nothing is joined or shuffled.
         """
-        names = F.array(*(F.lit(n) for n in self.names)) if self.names else F.array().cast("array<string>")
+        found = _found_in(self.names)
         tags = F.col(tags_col) if tags_col else F.lit(None).cast("map<string,boolean>")
         d = chunks.where(F.col(text_col).isNotNull()).select(
             F.col(key_col).alias("document_key"), F.col(index_col).cast("int").alias("chunk_index"), F.col(text_col).alias("_chunk"), tags.alias("_tags")
         )
         # a chunk without any name has no unit with one
-        d = d.where(F.size(names_in(F.col("_chunk"), names)) > 0)
+        d = d.where(F.size(found(F.col("_chunk"))) > 0)
         parts = []
         if with_sentences:
             s = d.select("document_key", "chunk_index", "_tags", F.posexplode(self.sentences(F.col("_chunk"))).alias("sentence_index", "text"))
@@ -91,7 +114,7 @@ class Extractor:
         if not parts:
             raise ValueError("ask for sentences, paragraphs or both")
         units = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        units = units.withColumn("entity_names_found", names_in(F.col("text"), names)).where(F.size("entity_names_found") > 0)
+        units = units.withColumn("entity_names_found", found(F.col("text"))).where(F.size("entity_names_found") > 0)
         return units.select(
             "document_key", "chunk_index", "sentence_index", "text", context_type(F.col("text"), F.col("_tags"), F.col("entity_names_found")).alias("context_type"),
             "entity_names_found", F.lit(0.0).alias("quality_score"),
@@ -110,47 +133,63 @@ _KEY = 64
 MOST_NAMES = 200_000
 
 
+def _searched(texts: DataFrame, names: DataFrame, text_col: str, name_col: str, most_names: int):
+    """The names' (lower case, spelling) on every worker, or None if they are too many."""
+    low = F.lower(F.col(name_col))
+    n = names.select(F.col(name_col).alias("name"), low.alias("_low")).where(F.col("_low") != "").distinct()
+    if importlib.util.find_spec("ahocorasick") is None or n.count() > most_names:
+        return n, None
+    return n, texts.sparkSession.sparkContext.broadcast([(r["_low"], r["name"]) for r in n.collect()])
+
+
+def _finder(pairs: list[tuple[str, str]]):
+    """A function that gives the names a lower-case text holds, in order."""
+    import ahocorasick
+
+    spellings: dict[str, list[str]] = {}
+    for key, name in pairs:
+        spellings.setdefault(key, []).append(name)
+    if not spellings:
+        return lambda text: []
+    auto = ahocorasick.Automaton()
+    for key, own in spellings.items():
+        auto.add_word(key, own)
+    auto.make_automaton()
+    return lambda text: sorted({name for _, own in auto.iter(text) for name in own}) if text else []
+
+
+def names_of(units: DataFrame, names: DataFrame, text_col: str, name_col: str = "name", most_names: int = MOST_NAMES) -> DataFrame:
+    """``units`` that hold names, with them as ``names``, sorted; every row by itself.
+
+    A name list that a count shows to be small goes to the workers as one
+    search automaton, and nothing is shuffled.  A longer one is joined by key,
+    over row numbers.  Null and empty names and texts have no mentions.
+    """
+    n, shared = _searched(units, names, text_col, name_col, most_names)
+    if shared is None:
+        numbered = cut(units.withColumn("_row", F.monotonically_increasing_id()))
+        hits = _mentions_by_key(numbered.select("_row", F.lower(text_or_empty(F.col(text_col))).alias("_text")), n, ["_row"])
+        found = hits.groupBy("_row").agg(F.array_sort(F.collect_set("name")).alias("names"))
+        return numbered.join(found, "_row").select(*units.columns, "names")
+
+    held: list = []
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def find(low: pd.Series) -> pd.Series:
+        if not held:
+            held.append(_finder(shared.value))
+        return low.map(held[0])
+
+    return units.withColumn("names", find(F.lower(text_or_empty(F.col(text_col))))).where(F.size("names") > 0)
+
+
 def mentions(texts: DataFrame, names: DataFrame, id_cols: list[str], text_col: str, name_col: str = "name", most_names: int = MOST_NAMES) -> DataFrame:
     """``(<id_cols>, name)``: names that texts hold in any letter case, for name lists too long for a literal.
 
-    A list that a count shows to be small goes to the workers as one search
-    automaton, and texts are scanned where they are read.  A longer one is
-    joined by key.  Null and empty names and texts have no mentions; rows come
-    out once for each distinct ``id_cols`` and name.
+    Rows come out once for each distinct ``id_cols`` and name; see ``names_of``.
     """
-    low = F.lower(F.col(name_col))
-    n = names.select(F.col(name_col).alias("name"), low.alias("_low")).where(F.col("_low") != "").distinct()
-    t = texts.select(*id_cols, F.lower(text_or_empty(F.col(text_col))).alias("_text"))
-    try:
-        import ahocorasick  # noqa: F401
-    except ImportError:
-        return _mentions_by_key(t, n, id_cols)
-    if n.count() > most_names:
-        return _mentions_by_key(t, n, id_cols)
-    shared = texts.sparkSession.sparkContext.broadcast([(r["_low"], r["name"]) for r in n.collect()])
-    schema = T.StructType([*t.select(*id_cols).schema.fields, T.StructField("name", T.StringType())])
-    width = len(id_cols)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
-
-        spellings: dict[str, list[str]] = {}
-        for key, name in shared.value:
-            spellings.setdefault(key, []).append(name)
-        auto = ahocorasick.Automaton()
-        for key, own in spellings.items():
-            auto.add_word(key, own)
-        auto.make_automaton()
-        for batch in batches:
-            at, found = [], []
-            for k, text in enumerate(batch.column(width).to_pylist()):
-                for name in {name for _, own in auto.iter(text) for name in own} if text and spellings else ():
-                    at.append(k)
-                    found.append(name)
-            take = pa.array(at, pa.int32())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in range(width)), pa.array(found, pa.string())], names=schema.names)
-
-    return t.mapInArrow(run, schema).distinct()
+    found = names_of(texts.select(*id_cols, F.col(text_col).alias("_text")), names, "_text", name_col, most_names)
+    return found.select(*id_cols, F.explode("names").alias("name")).distinct()
 
 
 def _mentions_by_key(t: DataFrame, n: DataFrame, id_cols: list[str]) -> DataFrame:

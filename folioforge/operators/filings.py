@@ -137,10 +137,15 @@ def has_suffix(path: Column, file_types: list[str]) -> Column:
     return F.element_at(F.split(path, r"\."), -1).isin(file_types)
 
 
-def bodies(filings: DataFrame, files: DataFrame, doc_type: str, file_types: list[str], id_cols: list[str]) -> DataFrame:
+def body_paths(filings: DataFrame, doc_type: str, file_types: list[str], id_cols: list[str], strict: bool = False) -> DataFrame:
+    """``(<id_cols>, body_no, path)``: where the bodies of a type are, in index order."""
+    paths = document_paths(F.col("documents"), F.col("index_headers_path"), doc_type, strict)
+    return filings.select(*id_cols, F.posexplode(paths).alias("body_no", "path")).where(has_suffix(F.col("path"), file_types))
+
+
+def bodies(filings: DataFrame, files: DataFrame, doc_type: str, file_types: list[str], id_cols: list[str], strict: bool = False) -> DataFrame:
     """``(<id_cols>, body_no, path, content)``: the non-empty bodies of a type, in index order."""
-    paths = document_paths(F.col("documents"), F.col("index_headers_path"), doc_type)
-    d = filings.select(*id_cols, F.posexplode(paths).alias("body_no", "path")).where(has_suffix(F.col("path"), file_types))
+    d = body_paths(filings, doc_type, file_types, id_cols, strict)
     return d.join(files.select("path", "content").where(F.length("content") > 0), "path").select(*id_cols, "body_no", "path", "content")
 
 

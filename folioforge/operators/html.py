@@ -186,9 +186,19 @@ def tidy(fragment: str) -> str:
 _LINES = frozenset("p div tr table ul ol li h1 h2 h3 h4 h5 h6 pre br hr blockquote body section article center dl dt dd".split())
 
 
+#: A private sign for blanks that stay when others are joined.
+_INDENT = "\ue003"
+
+
+def _above(node: Node):
+    while (node := node.parent) is not None:
+        yield node
+
+
 def html_text(page: str | None) -> str:
-    """Text of a page in plain Markdown manner: headings, items, table rows as
-    ``a | b``, links as ``[text](target)``; no images, no emphasis, no wrapping.
+    """Text of a page in plain Markdown manner: headings, items indented by
+    depth with ``*`` or their number, table rows as ``a | b``, links as
+    ``[text](target)``; no images, no emphasis, no wrapping.
 
     The first hidden div is left out.  Null and empty give the empty text.
     """
@@ -219,7 +229,9 @@ def html_text(page: str | None) -> str:
             out.append("[")
             after = f"]({n.get('href')})"
         elif n.tag == "li":
-            out.append("\n  * ")
+            lists = [a for a in _above(n) if a.tag in ("ul", "ol")]
+            sign = f"{1 + sum(s.tag == 'li' for s in n.parent.children[: n.parent.children.index(n)])}." if lists and lists[0].tag == "ol" else "*"
+            out.append("\n" + _INDENT * (2 * max(1, len(lists))) + sign + _INDENT)
         elif n.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             out.append("\n\n" + "#" * int(n.tag[1]) + " ")
             after = "\n\n"
@@ -240,7 +252,7 @@ def html_text(page: str | None) -> str:
         text = re.sub(r"[ \t]+\n", "\n", text)
     else:
         text = re.sub(r"[ \t]*\n[ \t]*", "\n", re.sub(r"[ \t]{2,}", " ", text))
-    return re.sub(r"\n{3,}", "\n\n", text).strip()
+    return re.sub(r"\n{3,}", "\n\n", text).strip().strip(_INDENT).replace(_INDENT, " ")
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

@@ -17,8 +17,8 @@ RANGES = [
     r"over\s+\$?\s*[0-9,]+", r"\$?\s*[0-9,]+\s*[-–]\s*\$?\s*[0-9,]+",
 ]
 #: Rules of the default entity providers: runs of capitalised words after a title or before a role, and amounts of money.
-_PERSON = r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof)\.?\s+)(?:\p{Lu}\.?\s+){0,3}\p{Lu}[\p{Ll}'’-]+(?:\s+\p{Lu}[\p{Ll}'’-]+){0,2}|\b\p{Lu}[\p{Ll}'’-]+\s+(?:\p{Lu}\.\s+){1,2}\p{Lu}[\p{Ll}'’-]+"
-_MONEY = r"(?:US)?[$€£¥]\s?[0-9][0-9,]*(?:\.[0-9]+)?(?:\s(?:hundred|thousand|million|billion|trillion))?|\b[0-9][0-9,]*(?:\.[0-9]+)?\s(?:dollars|euros|cents)\b"
+PERSON = r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof)\.?\s+)(?:\p{Lu}\.?\s+){0,3}\p{Lu}[\p{Ll}'’-]+(?:\s+\p{Lu}[\p{Ll}'’-]+){0,2}|\b\p{Lu}[\p{Ll}'’-]+\s+(?:\p{Lu}\.\s+){1,2}\p{Lu}[\p{Ll}'’-]+"
+MONEY = r"(?:US)?[$€£¥]\s?[0-9][0-9,]*(?:\.[0-9]+)?(?:\s(?:hundred|thousand|million|billion|trillion))?|\b[0-9][0-9,]*(?:\.[0-9]+)?\s(?:dollars|euros|cents)\b"
 
 Provider = Callable[[Column], Column]
 
@@ -40,12 +40,12 @@ def role_counts(text: Column) -> dict[str, Column]:
 
 def person_names(text: Column) -> Column:
     """The default person provider: rules, no model; an approximation."""
-    return F.transform(F.regexp_extract_all(text_or_empty(text), F.lit(_PERSON), F.lit(0)), lambda p: F.regexp_replace(p, r"^(?:Mr|Mrs|Ms|Dr|Prof)\.?\s+", ""))
+    return F.transform(F.regexp_extract_all(text_or_empty(text), F.lit(PERSON), F.lit(0)), lambda p: F.regexp_replace(p, r"^(?:Mr|Mrs|Ms|Dr|Prof)\.?\s+", ""))
 
 
 def money_amounts(text: Column) -> Column:
     """The default money provider: rules, no model; an approximation."""
-    return F.regexp_extract_all(text_or_empty(text), F.lit(_MONEY), F.lit(0))
+    return F.regexp_extract_all(text_or_empty(text), F.lit(MONEY), F.lit(0))
 
 
 def unique_persons(names: Column) -> Column:

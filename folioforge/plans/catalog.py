@@ -8,18 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions.text import (
-    is_empty_line, is_meaningful, is_table_row, needs_sentences, normal_name, sanitized, sentences_of, without_artifacts,
+    ABBREVIATIONS, is_empty_line, is_meaningful, is_table_row, needs_sentences, normal_name, sanitized, sentences_of, without_artifacts,
 )
-from folioforge.operators.chunking import chunk_texts, chunk_with_context, content_lines, packed, pieces_of_lines
-from folioforge.operators.extraction import HEADER, LIST, PARAGRAPH_MIN, SENTENCE_MIN, TABLE, context_type, mentions, paragraphs_of
+from folioforge.operators.chunking import GAP_WORDS, chunk_texts, chunk_with_context, content_lines, packed, pieces_of_lines, proportional_sentences
+from folioforge.operators.extraction import HEADER, LIST, PARAGRAPH_MIN, SENTENCE_MIN, TABLE, context_type, names_of, paragraphs_of
 from folioforge.operators.filings import filing_key, interesting, resolved, shown
 from folioforge.operators.generic import DEFAULT_PATTERNS, GenericNames, tracked_names
 from folioforge.operators.html import break_stats, html_text_udf, split_documents
 from folioforge.operators.matching import best_matches, name_pairs
-from folioforge.operators.tags import MANAGER, RANGES, TRUSTEE, role_counts, tagged
+from folioforge.operators.tags import MANAGER, MONEY, PERSON, RANGES, TRUSTEE, role_counts, tagged
 from folioforge.plans.pipelines import chunk_rows, evaluated
 from folioforge.runtime import table
-from folioforge.sources.documents import extracts_as_json, extracts_from_json
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,6 +62,73 @@ _SQL_SENT = (
 _SQL_LINES = f"""lines AS (
   SELECT doc_id, ln - 1 AS line_no, {_sql_strip("parts[ln]")} AS s
   FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS ln FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL)))"""
+_WIDE = "".join(map(chr, range(0xFF01, 0xFF5F)))
+_PLAIN = "".join(map(chr, range(0x21, 0x7F))).replace("'", "''")
+#: Blanks whose compatibility form is the plain one.
+_SPACES = "".join(map(chr, [0xA0, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000]))
+
+
+def _sql_sanitized(x: str) -> str:
+    """Compatibility forms for the characters the tables hold, then the steps of ``sanitized``."""
+    form = f"translate(replace(replace(replace(coalesce({x}, ''), '…', '...'), chr(3635), chr(3661) || chr(3634)), '™', 'TM'), '{_WIDE}{_SPACES}', '{_PLAIN}{" " * len(_SPACES)}')"
+    shown = rf"regexp_replace(nfc_normalize({form}), '[^\PC\n\t]+', '', 'g')"
+    plain = f"translate({shown}, '‐‑‒–—−®☐☑☒', '------')"
+    joined = rf"regexp_replace({plain}, '\$[\s\x{{1c}}-\x{{1f}}\x{{85}}\pZ]+(\p{{Nd}})', '$\1', 'g')"
+    blanks = f"regexp_replace({joined}, '[ \\t]+', ' ', 'g')"
+    return _sql_strip(f"regexp_replace({blanks}, '{_WS}*\\n{_WS}*', chr(10), 'g')")
+
+
+_SQL_ABBREVIATED = "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS)
+
+
+def _sql_sentences(x: str) -> str:
+    return rf"""list_filter(list_transform(string_split(replace(regexp_replace(regexp_replace({x}, '\b({_SQL_ABBREVIATED})\.(\s)', '\1' || chr(57345) || '\2', 'g'),
+    '([.!?]["”’)\]]*)\s+([A-Z0-9"“(])', '\1' || chr(57344) || '\2', 'g'), chr(57345), '.'), chr(57344)), lambda x: {_sql_strip("x")}), lambda x: x <> '')"""
+
+
+def _sql_chunks(source: str, size: int = 2000) -> str:
+    """CTEs that end in ``chunks(id, chunk_no, chunk)`` of a relation ``source(id, text)``; the query must be RECURSIVE."""
+    words = ", ".join(f"'{w}'" for w in GAP_WORDS)
+    return rf"""
+c_lines AS (SELECT id, ln, {_sql_strip("parts[ln]")} AS s FROM (
+  SELECT id, parts, unnest(range(1, len(parts) + 1)) AS ln FROM (SELECT id, string_split({_sql_sanitized("text")}, chr(10)) AS parts FROM {source}))),
+c_kept AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY ln) AS i, s, {_SQL_ROW} AS r, {_SQL_SENT} AS n FROM c_lines WHERE NOT {_SQL_EMPTY}),
+c_runs AS (SELECT *, sum(CAST(r AS INTEGER)) OVER (PARTITION BY id ORDER BY i) AS run,
+  sum(CASE WHEN r AND coalesce(lag_r, false) THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY i) AS g FROM (SELECT *, lag(r) OVER (PARTITION BY id ORDER BY i) AS lag_r FROM c_kept)),
+c_batch AS (SELECT id, run, {_sql_sentences("string_agg(s, chr(10) ORDER BY i)")} AS found, sum(length(s)) AS total FROM c_runs WHERE n AND NOT r GROUP BY id, run),
+c_share AS (SELECT l.id, l.run, l.i, l.s, b.found, CAST(greatest(floor(CAST(len(b.found) * length(l.s) AS DOUBLE) / b.total), 1) AS BIGINT) AS share
+  FROM c_runs l JOIN c_batch b ON b.id = l.id AND b.run = l.run WHERE l.n AND NOT l.r),
+c_start AS (SELECT *, sum(share) OVER (PARTITION BY id, run ORDER BY i) - share AS start, max(i) OVER (PARTITION BY id, run, s) AS last_i FROM c_share),
+c_dealt AS (SELECT id, run, i, s, CASE WHEN start >= len(found) THEN [s] ELSE found[start + 1 : start + share] END AS own FROM c_start WHERE i = last_i),
+c_parts AS (
+  SELECT id, min(i) AS i, 0 AS k, string_agg(s, chr(10) ORDER BY i) AS piece FROM c_runs WHERE r GROUP BY id, g
+  UNION ALL SELECT id, i, 0, s FROM c_runs WHERE NOT r AND NOT n
+  UNION ALL SELECT id, i, k, own[k] FROM (SELECT t.id, t.i, d.own, unnest(range(1, len(d.own) + 1)) AS k FROM c_start t JOIN c_dealt d ON d.id = t.id AND d.run = t.run AND d.s = t.s)),
+c_pieces AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY i, k) AS i, piece FROM c_parts),
+c_walk AS (
+  SELECT id, i, piece, CASE WHEN length(piece) > {size} THEN 1 ELSE 0 END AS k, length(piece) AS held FROM c_pieces WHERE i = 1
+  UNION ALL
+  SELECT n.id, n.i, n.piece, CASE WHEN w.held + length(n.piece) > {size} THEN w.k + 1 ELSE w.k END,
+    CASE WHEN w.held + length(n.piece) > {size} THEN length(n.piece) ELSE w.held + length(n.piece) END
+  FROM c_walk w JOIN c_pieces n ON n.id = w.id AND n.i = w.i + 1),
+c_packed AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY k) - 1 AS chunk_no, c FROM (
+  SELECT id, k, string_agg(piece, chr(10) || chr(10) ORDER BY i) AS c FROM c_walk GROUP BY id, k) WHERE length({_sql_strip("c")}) > 100),
+c_out AS (SELECT id, chunk_no, j, line, {_sql_strip("line")} AS s FROM (
+  SELECT id, chunk_no, parts, j, parts[j] AS line FROM (SELECT id, chunk_no, parts, unnest(range(1, len(parts) + 1)) AS j FROM (SELECT id, chunk_no, string_split(c, chr(10)) AS parts FROM c_packed)))),
+c_gap AS (SELECT *, max(CASE WHEN {_SQL_ROW} THEN j END) OVER (PARTITION BY id, chunk_no ORDER BY j) AS a,
+  min(CASE WHEN {_SQL_ROW} THEN j END) OVER (PARTITION BY id, chunk_no ORDER BY j ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS b FROM c_out),
+c_wide AS (SELECT *, coalesce(a <> b AND b - a - 1 > 2, false) AS wide, length(s) > 10 AND lower(s) NOT IN ({words}) AS content FROM c_gap),
+c_seen AS (SELECT *, coalesce(lag(s) OVER (PARTITION BY id, chunk_no, a ORDER BY j) <> '', true) AS after_content FROM c_wide WHERE wide AND (content OR s = '')),
+c_left AS (SELECT id, chunk_no, a, j, CASE WHEN content THEN line ELSE '' END AS line, bool_or(content) OVER (PARTITION BY id, chunk_no, a) AS any_content,
+  row_number() OVER (PARTITION BY id, chunk_no, a ORDER BY j) AS nth FROM c_seen WHERE content OR after_content),
+c_final AS (
+  SELECT id, chunk_no, j, line FROM c_wide WHERE NOT wide
+  UNION ALL SELECT id, chunk_no, j, line FROM c_left WHERE any_content
+  UNION ALL SELECT id, chunk_no, min(j), '' FROM c_wide WHERE wide GROUP BY id, chunk_no, a
+    HAVING NOT bool_or(content)),
+chunks AS (SELECT id, chunk_no, string_agg(line, chr(10) ORDER BY j) AS chunk FROM c_final GROUP BY id, chunk_no)"""
+
+
 _SQL_GENERIC = "(length(n) <= 3 OR n IN (" + ", ".join(f"'{p}'" for p in sorted(DEFAULT_PATTERNS)) + "))"
 _SQL_FOUND = "(SELECT extract_id, cik, unnest(entity_names_found) AS name FROM extracted_text)"
 
@@ -73,7 +139,8 @@ def _sql_any(x: str, patterns: list[str]) -> str:
 
 def _sql_context(text: str, names: str, tags: str = "") -> str:
     t = _sql_strip(text)
-    return f"""CASE
+    tagged = "".join(f"WHEN coalesce({tags}['is_{k}'], false) THEN '{k}' " for k in ("table", "header", "list")) if tags else ""
+    return f"""CASE {tagged}
   WHEN len(list_filter({names}, lambda n: contains({text}, '(' || n || ')') OR contains({text}, '(' || upper(n) || ')'))) > 0 THEN 'parenthetical'
   WHEN len(list_filter({names}, lambda n: len(list_filter(string_split({text}, chr(10)), lambda x: {_sql_strip("x")} <> '' AND contains(x, n)
        AND CAST(length(n) AS DOUBLE) / length({_sql_strip("x")}) > 0.6)) > 0)) > 0 THEN 'header'
@@ -118,7 +185,7 @@ def meaningful_filter(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "extracted_text").where(is_meaningful(F.col("text"))).select("extract_id", "text")
 
 
-@query()
+@query(f"SELECT doc_id, {_sql_sanitized('text')} AS sanitized FROM documents")
 def sanitize_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", sanitized(F.col("text")).alias("sanitized"))
 
@@ -159,7 +226,7 @@ def chunk_pack(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", F.posexplode(packed(F.col("_lines"), 500)).alias("chunk_no", "chunk"))
 
 
-@query()
+@query(f"WITH RECURSIVE docs AS (SELECT doc_id AS id, text FROM documents), {_sql_chunks('docs')} SELECT id AS doc_id, CAST(chunk_no AS INTEGER) AS chunk_no, chunk FROM chunks")
 def chunk_documents(spark: SparkSession, d: str) -> DataFrame:
     return chunk_texts(table(spark, d, "documents"), ["doc_id"], "text")
 
@@ -199,8 +266,11 @@ def page_break_stats(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def chunk_filings(spark: SparkSession, d: str) -> DataFrame:
+    """HTML filings page by page, plain-text ones as a whole."""
     docs = _documents(spark, d).select(F.col("chunked_id").alias("cik"), "accession_number", F.lit("body.htm").alias("path"), "content")
-    return chunk_rows(docs).withColumnRenamed("cik", "chunked_id")
+    plain = table(spark, d, "chunked_document").where(F.coalesce(F.size("html_pages"), F.lit(0)) <= 0)
+    texts = plain.select(F.col("chunked_id").alias("cik"), "accession_number", F.lit("body.txt").alias("path"), F.array_join("text_chunks", "\n\n").alias("content"))
+    return chunk_rows(docs.unionByName(texts)).withColumnRenamed("cik", "chunked_id")
 
 
 # ---- extraction
@@ -217,28 +287,26 @@ found AS (SELECT chunked_id, chunk_index, text, list(name ORDER BY name) AS name
 SELECT chunked_id, CAST(chunk_index AS INTEGER) AS chunk_index, text, array_to_string(names, '; ') AS names, {_sql_context("text", "names")} AS context_type FROM found""")
 def paragraphs_with_entities(spark: SparkSession, d: str) -> DataFrame:
     chunks = table(spark, d, "chunked_document").select("chunked_id", F.posexplode("text_chunks").alias("chunk_index", "_c")).where(F.col("_c").isNotNull())
-    paras = chunks.select("chunked_id", "chunk_index", F.explode(paragraphs_of(F.col("_c"))).alias("text")).where(F.length("text") >= PARAGRAPH_MIN)
-    return _with_names(spark, d, paras, ["chunked_id", "chunk_index", "text"])
+    paras = chunks.select("chunked_id", "chunk_index", F.explode(F.array_distinct(paragraphs_of(F.col("_c")))).alias("text")).where(F.length("text") >= PARAGRAPH_MIN)
+    return _with_names(spark, d, paras, ["chunked_id", "chunk_index"])
 
 
-_SQL_SENTS = rf"""sents AS (
-  SELECT doc_id, unnest(list_filter(list_transform(string_split(replace(regexp_replace(regexp_replace(text, '\b(Mr|Mrs|Ms|Dr|Prof|St|Jr|Sr|No|Nos|Sec|Art|Fig|Vol|Inc|Ltd|Co|Corp|vs|approx|e\.g|i\.e|U\.S|p|pp|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec)\.(\s)', '\1' || chr(57345) || '\2', 'g'),
-    '([.!?]["”’)\]]*)\s+([A-Z0-9"“(])', '\1' || chr(57344) || '\2', 'g'), chr(57345), '.'), chr(57344)), lambda x: {_sql_strip("x")}), lambda x: x <> '')) AS text FROM documents),
-hits AS (SELECT DISTINCT s.doc_id, s.text, n.name FROM sents s JOIN entity_name n ON contains(lower(s.text), lower(n.name)) WHERE length(s.text) >= 20),
-found AS (SELECT doc_id, text, list(name ORDER BY name) AS names FROM hits GROUP BY ALL)"""
+_SQL_SENTS = f"""sents AS (
+  SELECT doc_id, k - 1 AS sentence_index, found[k] AS text FROM (SELECT doc_id, found, unnest(range(1, len(found) + 1)) AS k FROM (SELECT doc_id, {_sql_sentences("text")} AS found FROM documents))),
+hits AS (SELECT DISTINCT s.doc_id, s.sentence_index, s.text, n.name FROM sents s JOIN entity_name n ON contains(lower(s.text), lower(n.name)) WHERE length(s.text) >= 20),
+found AS (SELECT doc_id, sentence_index, text, list(name ORDER BY name) AS names FROM hits GROUP BY ALL)"""
 
 
 @query(f"""WITH {_SQL_SENTS}
-SELECT doc_id, text, array_to_string(names, '; ') AS names, {_sql_context("text", "names")} AS context_type FROM found""")
+SELECT doc_id, CAST(sentence_index AS INTEGER) AS sentence_index, text, array_to_string(names, '; ') AS names, {_sql_context("text", "names")} AS context_type FROM found""")
 def sentences_with_entities(spark: SparkSession, d: str) -> DataFrame:
-    sents = table(spark, d, "documents").select("doc_id", F.explode(sentences_of(F.col("text"))).alias("text")).where(F.length("text") >= SENTENCE_MIN)
-    return _with_names(spark, d, sents, ["doc_id", "text"])
+    sents = table(spark, d, "documents").select("doc_id", F.posexplode(sentences_of(F.col("text"))).alias("sentence_index", "text")).where(F.length("text") >= SENTENCE_MIN)
+    return _with_names(spark, d, sents, ["doc_id", "sentence_index"])
 
 
 def _with_names(spark: SparkSession, d: str, units: DataFrame, keys: list[str]) -> DataFrame:
-    hits = mentions(units.distinct(), table(spark, d, "entity_name"), keys, "text")
-    found = hits.groupBy(*keys).agg(F.array_sort(F.collect_set("name")).alias("_names"))
-    return found.select(*keys, F.array_join("_names", "; ").alias("names"), context_type(F.col("text"), None, F.col("_names")).alias("context_type"))
+    found = names_of(units, table(spark, d, "entity_name"), "text")
+    return found.select(*keys, "text", F.array_join("names", "; ").alias("names"), context_type(F.col("text"), None, F.col("names")).alias("context_type"))
 
 
 @query(f"SELECT extract_id, {_sql_context('coalesce(text, chr(0))', 'coalesce(entity_names_found, [])').replace('chr(0)', chr(39) * 2)} AS context_type FROM extracted_text")
@@ -247,12 +315,6 @@ def context_types(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "extracted_text").select("extract_id", context_type(F.col("text"), None, names).alias("context_type"))
 
 
-@query()
-def extraction_json(spark: SparkSession, d: str) -> DataFrame:
-    """Extracts written as one JSON array for each document and read again."""
-    return extracts_from_json(extracts_as_json(table(spark, d, "extracted_text")))
-
-
 # ---- tags
 
 
@@ -264,7 +326,13 @@ def tag_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", *(c[k].alias(k) for k in ("manager_count", "trustee_count", "range_count", "none_count")))
 
 
-@query()
+_SQL_PERSONS = "list_transform(regexp_extract_all(coalesce(text, ''), '" + PERSON.replace("'", "''") + "'), lambda x: " + _sql_strip("regexp_replace(regexp_replace(x, '^(?:Mr|Mrs|Ms|Dr|Prof)\\.?\\s+', ''), '^[|,.;:]+|[|,.;:]+$', '', 'g')") + ")"
+
+
+@query(f"""SELECT doc_id, {_sql_count("coalesce(text, '')", MANAGER)} AS manager_count, {_sql_count("coalesce(text, '')", TRUSTEE)} AS trustee_count,
+  CAST(len(list_distinct(list_transform(list_filter({_SQL_PERSONS}, lambda x: length(x) >= 2 AND NOT (length(x) <= 5 AND upper(x) = x AND lower(x) <> x)), lambda x: lower(x)))) AS INTEGER) AS person_unique,
+  CAST(len(list_distinct(list_filter(list_transform(regexp_extract_all(coalesce(text, ''), '{MONEY}'), lambda x: {_sql_strip("x")}), lambda x: x <> ''))) AS INTEGER) AS money_count,
+  {_sql_count("coalesce(text, '')", RANGES)} AS range_count, CAST((length(lower(coalesce(text, ''))) - length(replace(lower(coalesce(text, '')), 'none', ''))) / 4 AS INTEGER) AS none_count FROM documents""")
 def tag_entities(spark: SparkSession, d: str) -> DataFrame:
     return tagged(table(spark, d, "documents"), ["doc_id"], "text")
 
@@ -298,7 +366,18 @@ def best_names(spark: SparkSession, d: str) -> DataFrame:
     return best.withColumn("score", F.round("score", 6))
 
 
-@query()
+@query(f"""WITH RECURSIVE p AS (SELECT document_key, list_sort(list(DISTINCT n)) AS p FROM (SELECT document_key, {_sql_norm("name")} AS n FROM (SELECT document_key, unnest(entity_names_found) AS name FROM extracted_text)) WHERE n <> '' AND NOT {_SQL_GENERIC} GROUP BY document_key),
+e AS (SELECT document_key, list_sort(list(DISTINCT {_sql_norm("name")})) AS e FROM (SELECT DISTINCT document_key, cik FROM extracted_text) JOIN entity_name USING (cik) WHERE {_sql_norm("name")} <> '' GROUP BY document_key),
+g AS (
+  SELECT document_key, coalesce(p, []) AS p, coalesce(e, []) AS e, 0 AS i, CAST([] AS BIGINT[]) AS taken FROM p FULL JOIN e USING (document_key)
+  UNION ALL
+  SELECT document_key, p, e, i + 1, CASE WHEN hit IS NULL THEN taken ELSE list_append(taken, hit) END FROM (
+    SELECT *, list_filter(range(1, len(e) + 1), lambda j: NOT list_contains(taken, j) AND (p[i + 1] = e[j] OR contains(p[i + 1], e[j]) OR contains(e[j], p[i + 1])
+      OR CAST(len(list_intersect({_SQL_TOKENS.format("p[i + 1]")}, {_SQL_TOKENS.format("e[j]")})) AS DOUBLE) / len(list_distinct(list_concat({_SQL_TOKENS.format("p[i + 1]")}, {_SQL_TOKENS.format("e[j]")}))) >= 0.6))[1] AS hit
+    FROM g WHERE i < len(p))),
+c AS (SELECT document_key, len(taken) AS tp, len(p) - len(taken) AS fp, len(e) - len(taken) AS fn FROM g WHERE i = len(p))
+SELECT document_key, CAST(tp AS INTEGER) AS true_positives, CAST(fp AS INTEGER) AS false_positives, CAST(fn AS INTEGER) AS false_negatives,
+  CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS precision, CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS recall FROM c""")
 def name_evaluation(spark: SparkSession, d: str) -> DataFrame:
     """Names found in each document against the reference names of its filer."""
     x = table(spark, d, "extracted_text")

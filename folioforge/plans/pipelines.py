@@ -9,10 +9,11 @@ from folioforge.functions.similarity import THRESHOLD
 from folioforge.functions.text import normal_name
 from folioforge.operators.chunking import CHUNK_SIZE, chunk_texts
 from folioforge.operators.extraction import Extractor
-from folioforge.operators.filings import bodies
+from folioforge.operators.filings import body_paths
 from folioforge.operators.generic import GenericNames
-from folioforge.operators.html import html_text_udf, split_documents
+from folioforge.operators.html import html_text_udf, pages_udf, split_documents
 from folioforge.operators.matching import batch_match, evaluation
+from folioforge.runtime import cut
 
 _KEY = ["cik", "accession_number"]
 
@@ -35,14 +36,21 @@ def chunked_documents(filings: DataFrame, files: DataFrame, doc_type: str = "485
     Only the first body of a filing counts.  Text filings have neither pages
     nor references; filings without a body do not come out.
     """
-    every = bodies(filings, files, doc_type, ["htm", "txt"], _KEY)
-    first = every.groupBy(*_KEY).agg(F.min_by(F.struct("path", "content"), "body_no").alias("_b")).select(*_KEY, "_b.path", "_b.content")
-    pages = split_documents(first.where(F.col("path").endswith(".htm")), _KEY, "content").groupBy(*_KEY).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("page_no", "page"))), lambda x: x["page"]).alias("html_pages")
-    )
-    chunks = chunk_rows(first, size).groupBy(*_KEY).agg(F.sort_array(F.collect_list(F.struct("page_no", "chunk_no", "chunk"))).alias("_c"))
+    paths = body_paths(filings, doc_type, ["htm", "txt"], [*_KEY, "date_filed"])
+    landed = files.where(F.length("content") > 0)
+    # the first landed body is chosen by path, so contents of the others are never joined
+    first = paths.join(landed.select("path"), "path", "left_semi").groupBy(*_KEY, "date_filed").agg(F.min_by("path", "body_no").alias("path"))
+    first = first.join(landed.select("path", "content"), "path")
+    is_html = F.col("path").endswith(".htm")
+    # HTML is split once: a filing's pages stay one array beside its chunks
+    split = first.select(*_KEY, "date_filed", F.when(is_html, pages_udf(F.when(is_html, F.col("content")))).alias("html_pages"), F.when(~is_html, F.col("content")).alias("_text"))
+    split = cut(split)
+    pages = split.select(*_KEY, F.posexplode("html_pages").alias("page_no", "_page")).select(*_KEY, "page_no", html_text_udf("_page").alias("_text"))
+    texts = split.where(F.col("_text").isNotNull()).select(*_KEY, F.lit(None).cast("int").alias("page_no"), "_text")
+    rows = chunk_texts(pages.unionByName(texts), [*_KEY, "page_no"], "_text", size)
+    chunks = rows.groupBy(*_KEY).agg(F.sort_array(F.collect_list(F.struct("page_no", "chunk_no", "chunk"))).alias("_c"))
     none = lambda kind: F.array().cast(f"array<{kind}>")
-    d = first.select(*_KEY).join(filings.select(*_KEY, "date_filed"), _KEY).join(pages, _KEY, "left").join(chunks, _KEY, "left")
+    d = split.select(*_KEY, "date_filed", "html_pages").join(chunks, _KEY, "left")
     return d.select(
         *_KEY, "date_filed", F.coalesce("html_pages", none("string")).alias("html_pages"),
         F.coalesce(F.transform("_c", lambda x: x["chunk"]), none("string")).alias("text_chunks"),

@@ -33,6 +33,14 @@ def _file_system(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the driver ends."""
+    path = f"{scratch_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    p, fs = _file_system(spark, path)
+    fs.deleteOnExit(p)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it from there.
 
@@ -40,10 +48,8 @@ def cut(df: DataFrame) -> DataFrame:
     deletes the table; what is left goes when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{scratch_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "table")
     df.write.option("compression", "zstd").parquet(path)
-    p, fs = _file_system(spark, path)
-    fs.deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out

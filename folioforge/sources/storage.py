@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ def chosen_prefix(env: Mapping[str, str] | None = None) -> str:
 
 def resolve(prefix: str, root: str = ".") -> str:
     """A full location: URIs and absolute paths as they are, others under ``root``."""
-    if "://" in prefix or prefix.startswith("/"):
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:/", prefix) or prefix.startswith("/"):
         return prefix.rstrip("/") or "/"
     return os.path.join(os.path.abspath(root), prefix).rstrip("/")
 
@@ -28,7 +29,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, prefix: str, root: str = "."):
         self.spark, self.base = spark, resolve(prefix, root)
-        if len(self.base.split("://")[-1]) <= 3:
+        if len(re.sub(r"^[A-Za-z0-9+.-]+:/+", "/", self.base)) <= 3:
             raise ValueError(f"{self.base!r} is too short for a store")
 
     def _fs(self, path: str):
@@ -60,12 +61,11 @@ class Store:
     def files(self, pattern: str = "*") -> DataFrame:
         """``(path, content)`` of all landed text objects, paths relative to the store; read in parallel."""
         d = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(self.base)
-        base = self.base if "://" in self.base else f"file:{self.base}"
+        p, fs = self._fs("")
+        base = fs.makeQualified(p).toString().rstrip("/")
         return d.select(F.replace(F.col("path"), F.lit(base + "/"), F.lit("")).alias("path"), F.decode("content", "UTF-8").alias("content"))
 
 
 def missing(wanted: DataFrame, files: DataFrame, path_col: str = "path") -> DataFrame:
     """The wanted paths that are not landed yet."""
     return wanted.join(files.select(F.col("path").alias(path_col)), path_col, "left_anti")
-
-
