@@ -2,12 +2,11 @@
 
 The similarity of two records is the share of their union that their sets of
 ``shingle``-word runs have in common.  The candidates come from a sparse
-matrix product of record by n-gram, cut down by bounds that follow from the
-sizes alone: of a record's n runs only the n - ceil(t n) + 1 rarest enter the
-product, as two records that share none of those cannot reach the threshold t.
-Rows of one n-gram are multiplied block by block, the overlap counts of each
-pair add up, and pairs below what their sizes demand are discarded.  What is
-left is compared set against set.  No similar pair is lost, whatever the texts.
+matrix product of record by n-gram.  A record's n-grams are put in an order
+common to all records, the frequent ones last; its last tenth stays out of the
+product.  Rows of one n-gram are multiplied block by block, the overlap counts
+of each pair add up, and pairs below the bound that follows from their sizes
+are discarded.  Candidates are then compared set against set.
 """
 
 from __future__ import annotations
@@ -26,6 +25,14 @@ from pyspark.sql import types as T
 from folioforge.runtime import cut, discard
 
 WORD = re.compile(r"[^\W_]+")
+#: Words of an n-gram of the product.
+GRAM = 5
+#: How many n-grams in a row one is taken from, by the least words of a record.
+WINDOWS = ((40, 4), (0, 2))
+#: Of the smaller record's n-grams, the share a pair has in common at least, by its least runs.
+BOUNDS = ((40, 0.25), (0, 0.35))
+#: The most frequent part of a record's n-grams, which stays out of the product; less than 0.6 of the bounds.
+LEFT_OUT = 0.1
 #: Ids that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Records that one block of an n-gram's row holds at most, about.
@@ -78,6 +85,29 @@ def shingles_of(words: np.ndarray, shingle: int) -> np.ndarray:
     return np.unique(_runs(words, shingle))
 
 
+def anchors_of(words: np.ndarray) -> np.ndarray:
+    """The n-grams of a record that enter the product.
+
+    Of every ``window`` n-grams in a row the least hash is one, so two records
+    with ``GRAM + window - 1`` words in a row in common share an n-gram there;
+    the window of the longer record counts.
+    """
+    window = next(w for least, w in WINDOWS if len(words) >= least)
+    h = _runs(words, min(GRAM, len(words)))
+    n = len(h)
+    if n <= 1:
+        return h
+    width = min(window, n)
+    m = n - width + 1
+    least = h[:m].copy()
+    for j in range(1, width):
+        np.minimum(least, h[j: j + m], out=least)
+    chosen = np.zeros(n, bool)
+    for j in range(width):
+        chosen[j: j + m] |= h[j: j + m] == least
+    return np.unique(h[chosen])
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
@@ -131,17 +161,26 @@ def _coded(records: DataFrame, kinds: list[str]) -> DataFrame:
     )
 
 
+def _salts(kinds: list[str]) -> list[np.uint64]:
+    return [np.uint64(xxhash.xxh64_intdigest(k)) for k in kinds]
+
+
+def _set_hash(runs: np.ndarray, salt: np.uint64) -> np.uint64:
+    """A hash of a set of runs, which no order changes."""
+    return runs.sum(dtype=np.uint64) * np.uint64(3) + np.bitwise_xor.reduce(_mix(runs)) + salt
+
+
 def _features(coded: DataFrame, kinds: list[str], shingle: int) -> DataFrame:
-    """(_uid, _origin, _n, _set, _runs): size and hash of the shingle set, and the set, in order."""
+    """(_uid, _origin, _n, _set, _grams): size and hash of the shingle set, and the n-grams."""
     schema = T.StructType([
         *(coded.schema[c] for c in ("_uid", "_origin")), T.StructField("_n", T.IntegerType()),
-        T.StructField("_set", T.LongType()), T.StructField("_runs", T.ArrayType(T.LongType())),
+        T.StructField("_set", T.LongType()), T.StructField("_grams", T.ArrayType(T.LongType())),
     ])
-    salts = [np.uint64(xxhash.xxh64_intdigest(k)) for k in kinds]
+    salts = _salts(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, sizes, sets, every = [], [], [], []
+            at, sizes, sets, grams = [], [], [], []
             rows = zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), strict=True)
             for k, (uid, text, least) in enumerate(rows):
                 if not text:
@@ -149,16 +188,17 @@ def _features(coded: DataFrame, kinds: list[str], shingle: int) -> DataFrame:
                 words = words_of(text)
                 if len(words) < max(shingle, least or 0):
                     continue
+                salt = salts[uid >> _SHIFT]
                 with np.errstate(over="ignore"):
-                    runs = np.unique(_runs(words, shingle) ^ salts[uid >> _SHIFT])
+                    runs = shingles_of(words, shingle)
                     at.append(k)
                     sizes.append(len(runs))
-                    sets.append(runs.sum(dtype=np.uint64) * np.uint64(3) + np.bitwise_xor.reduce(_mix(runs)))
-                    every.append(runs)
+                    sets.append(_set_hash(runs, salt))
+                    grams.append(anchors_of(words) ^ salt)
             take = pa.array(at, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(sizes, pa.int32()),
-                 pa.array(_signed(np.array(sets, np.uint64))), _lists(every)],
+                 pa.array(_signed(np.array(sets, np.uint64))), _lists(grams)],
                 names=schema.names,
             )
 
@@ -211,26 +251,40 @@ def _frequencies(features: DataFrame):
             yield out(at, total)
 
     schema = "_part int, _counts binary"
-    parts = features.select("_runs").mapInArrow(count, schema).repartition("_part").sortWithinPartitions("_part").mapInArrow(add, schema)
+    parts = features.select("_grams").mapInArrow(count, schema).repartition("_part").sortWithinPartitions("_part").mapInArrow(add, schema)
     levels = np.zeros(1 << SKETCH_BITS, np.uint8)
     for part, level in parts.collect():  # one byte for each counter, whatever the corpus
         levels[part * width: (part + 1) * width] = np.frombuffer(zlib.decompress(level), np.uint8)
     return features.sparkSession.sparkContext.broadcast(levels)
 
 
-def prefix_size(n: np.ndarray, threshold: float) -> np.ndarray:
-    """How many of n runs, in any order common to all records, two records must look at:
-    if they share none of those, fewer than ceil(t n) are left to share."""
-    return n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+def kept(sizes: np.ndarray) -> np.ndarray:
+    """How many of a record's n-grams enter the product, the rarest ones."""
+    return sizes - np.floor(LEFT_OUT * sizes).astype(np.int64)
 
 
-def _prefixes(heads: DataFrame, frequencies, threshold: float) -> DataFrame:
-    """(_gram, _uid, _side): the rarest n-grams of each record, and in ``_side`` its size.
+def needed(na: np.ndarray, nb: np.ndarray, sa: np.ndarray, sb: np.ndarray, ea: np.ndarray, eb: np.ndarray) -> np.ndarray:
+    """Common n-grams a pair must show in the product, from its runs, its n-grams and where its kept ones end.
 
-    The order is that of the sketch, then of the hash; any order common to all
-    records keeps every pair.  An n-gram of more than ``BLOCK`` records is cut
-    into blocks of records; a record's row goes once to each pair of blocks
-    that holds its own, so no task multiplies more than two blocks.
+    In the common order one record's kept n-grams end first; what is common
+    beyond that lies in the part which that record left out.
+    """
+    n, share = np.minimum(na, nb), np.zeros(len(na))
+    for least, part in reversed(BOUNDS):
+        share = np.where(n >= least, part, share)
+    ra, rb = sa - kept(sa), sb - kept(sb)
+    out = np.where(ea < eb, ra, np.where(eb < ea, rb, np.maximum(ra, rb)))
+    return np.maximum(1, np.ceil(share * np.minimum(sa, sb)).astype(np.int64) - 1 - out)
+
+
+def _rows(heads: DataFrame, frequencies) -> DataFrame:
+    """(_gram, _uid, _facts): the kept n-grams of each record; ``_facts`` packs its runs,
+    its n-grams, the level at which the kept ones end, and its side of a block pair.
+
+    The order is that of the sketch, then of the hash.  An n-gram of more than
+    ``BLOCK`` records is cut into blocks of records; a record's row goes once
+    to each pair of blocks that holds its own, so no task multiplies more than
+    two blocks.
     """
     levels = np.arange(256)
     parts = np.maximum(1, np.ceil((2.0 ** (levels / 8) - 1) / BLOCK)).astype(np.int64)
@@ -238,19 +292,23 @@ def _prefixes(heads: DataFrame, frequencies, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = frequencies.value
         for batch in batches:
-            flat, sizes = _flat(batch.column(1))
-            uid = batch.column(0).to_numpy(zero_copy_only=False)
+            flat, sizes = _flat(batch.column(2))
+            uid, runs = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1))
+            keep = kept(sizes)
+            starts = np.cumsum(sizes) - sizes
             record = np.repeat(np.arange(len(sizes)), sizes)
             level = sketch[_bucket(flat)]
             order = np.lexsort((flat, level, record))
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            order = order[place < np.repeat(prefix_size(sizes, threshold), sizes)]
+            ends = np.full(len(sizes), 255, np.int64)
+            cut_off = np.flatnonzero(keep < sizes)
+            ends[cut_off] = level[order[starts[cut_off] + keep[cut_off]]]
+            order = order[np.arange(len(flat)) - np.repeat(starts, sizes) < np.repeat(keep, sizes)]
             gram, who, blocks = flat[order], record[order], parts[level[order]]
             hot = blocks > 1
             keys, owners, sides = [gram[~hot]], [who[~hot]], [np.zeros(int((~hot).sum()), np.int64)]
             if hot.any():
                 g, w, n = gram[hot], who[hot], blocks[hot]
-                own = (_mix(uid[w].view(np.uint64).copy()) % n.astype(np.uint64)).astype(np.int64)
+                own = (_mix(uid[w].view(np.uint64)) % n.astype(np.uint64)).astype(np.int64)
                 other = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 g, w, own = np.repeat(g, n), np.repeat(w, n), np.repeat(own, n)
                 with np.errstate(over="ignore"):
@@ -259,38 +317,36 @@ def _prefixes(heads: DataFrame, frequencies, threshold: float) -> DataFrame:
                 owners.append(w)
                 sides.append(np.where(own == other, 0, np.where(own < other, 1, 2)))
             who = np.concatenate(owners)
-            side = sizes[who] * 4 + np.concatenate(sides)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_signed(np.concatenate(keys))), pa.array(uid[who]), pa.array(side)], names=["_gram", "_uid", "_side"]
-            )
+            facts = (((runs << 24 | np.minimum(sizes, (1 << 24) - 1)) << 8 | ends) << 2)[who] | np.concatenate(sides)
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(keys))), pa.array(uid[who]), pa.array(facts)], names=["_gram", "_uid", "_facts"])
 
-    return heads.select("_uid", "_runs").mapInArrow(run, "_gram bigint, _uid bigint, _side bigint")
+    return heads.select("_uid", "_n", "_grams").mapInArrow(run, "_gram bigint, _uid bigint, _facts bigint")
 
 
 def _product(threshold: float):
-    """Rows (_gram, _uid, _side), sorted by _gram, to counted pairs (_a, _b, _na, _nb, _common) of sizes that allow the threshold."""
+    """Rows (_gram, _uid, _facts), sorted by _gram, to counted pairs (_a, _b, _needed, _common) of sizes that allow the threshold."""
 
-    def counted(gram: np.ndarray, uid: np.ndarray, side: np.ndarray) -> pa.RecordBatch:
-        n, side = side >> 2, side & 3
-        found = [np.zeros((0, 4), np.int64)]
+    def counted(gram: np.ndarray, uid: np.ndarray, facts: np.ndarray) -> pa.RecordBatch:
+        side, end, size, runs = facts & 3, facts >> 2 & 255, facts >> 10 & (1 << 24) - 1, facts >> 34
+        found = [np.zeros((0, 3), np.int64)]
+        x = np.arange(len(gram))
         for step in range(1, len(gram)):
-            x = np.flatnonzero(gram[step:] == gram[:-step])
+            x = x[x < len(gram) - step]
+            x = x[gram[x + step] == gram[x]]
             if not len(x):
                 break
-            y = x + step
-            small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+            a, b = x, x + step
             # a repeated row is no partner; of two blocks only rows of different ones are
-            fits = (small >= threshold * large - 1e-9) & (uid[x] != uid[y]) & ((side[x] == 0) | (side[x] != side[y]))
-            x, y = x[fits], y[fits]
-            turned = uid[x] > uid[y]
-            a, b = np.where(turned, y, x), np.where(turned, x, y)
-            found.append(np.stack([uid[a], uid[b], n[a], n[b]], 1))
+            fits = (np.minimum(runs[a], runs[b]) >= threshold * np.maximum(runs[a], runs[b]) - 1e-9) & (uid[a] != uid[b]) & ((side[a] == 0) | (side[a] != side[b]))
+            a, b = a[fits], b[fits]
+            need = needed(runs[a], runs[b], size[a], size[b], end[a], end[b])
+            found.append(np.stack([np.minimum(uid[a], uid[b]), np.maximum(uid[a], uid[b]), need], 1))
         pairs = np.concatenate(found)
         pairs = pairs[np.lexsort(pairs.T[::-1])]
         first = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(1)])) if len(pairs) else np.zeros(0, np.int64)
         common = np.diff(np.append(first, len(pairs)))
-        columns = [np.ascontiguousarray(pairs[first, c]) for c in range(4)] + [common.astype(np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["_a", "_b", "_na", "_nb", "_common"])
+        columns = [np.ascontiguousarray(pairs[first, 0]), np.ascontiguousarray(pairs[first, 1]), pairs[first, 2].astype(np.int32), common.astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["_a", "_b", "_needed", "_common"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = [np.zeros(0, np.int64)] * 3
@@ -311,22 +367,16 @@ def _product(threshold: float):
 def _candidates(heads: DataFrame, frequencies, threshold: float) -> DataFrame:
     """(_a, _b) of records whose sizes and common n-grams allow the threshold.
 
-    Records of n and m runs are similar enough only if they share
-    ceil(t (n + m) / (1 + t)) of them.  Of the two prefixes one ends first, and
-    what is common beyond its end lies in that record's rest; so all but the
-    larger of the two rests must have been counted.
+    The bound on the count: a similarity of 0.6 over runs of three words
+    leaves room for one insertion in nine words, one changed word in twelve or
+    one cut in eight, and between two such edits every window of n-grams that
+    lies inside gives a common one.  A pair shares the part in ``BOUNDS`` at
+    least, but for one.
     """
-    rows = _prefixes(heads, frequencies, threshold)
-    pairs = rows.repartition("_gram").sortWithinPartitions("_gram").mapInArrow(
-        _product(threshold), "_a bigint, _b bigint, _na bigint, _nb bigint, _common bigint"
-    )
-    total = pairs.groupBy("_a", "_b", "_na", "_nb").agg(F.sum("_common").alias("_common"))
-
-    def rest(n: str):
-        return F.ceil(F.col(n) * F.lit(float(threshold)) - 1e-9) - 1
-
-    both = F.ceil((F.col("_na") + F.col("_nb")) * F.lit(threshold / (1 + threshold)) - 1e-9)
-    return total.where(F.col("_common") >= both - F.greatest(rest("_na"), rest("_nb"))).select("_a", "_b").distinct()
+    rows = _rows(heads, frequencies).repartition("_gram").sortWithinPartitions("_gram")
+    pairs = rows.mapInArrow(_product(threshold), "_a bigint, _b bigint, _needed int, _common int")
+    total = pairs.groupBy("_a", "_b", "_needed").agg(F.sum("_common").alias("_common"))
+    return total.where(F.col("_common") >= F.col("_needed")).select("_a", "_b").distinct()
 
 
 def _small(ids: DataFrame) -> DataFrame:
@@ -334,10 +384,23 @@ def _small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _verified(features: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+def _verified(coded: DataFrame, kinds: list[str], pairs: DataFrame, shingle: int, threshold: float) -> DataFrame:
     """(_a, _sa, _b, _sb): the pairs whose whole shingle sets are similar enough, with the hashes of those sets."""
+    # few are broadcast, so the texts of all other records are not shuffled
     ids = cut(pairs.select(F.explode(F.array("_a", "_b")).alias("_uid")).distinct())
-    sets = cut(features.join(_small(ids), "_uid", "left_semi").select("_uid", "_set", "_runs").dropDuplicates(["_uid", "_set"]))
+    schema = T.StructType([T.StructField("_uid", T.LongType()), T.StructField("_set", T.LongType()), T.StructField("_runs", T.ArrayType(T.LongType()))])
+
+    salts = _salts(kinds)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            with np.errstate(over="ignore"):
+                runs = [shingles_of(words_of(t or ""), shingle) for t in batch.column(1).to_pylist()]
+                sets = [_set_hash(r, salts[uid >> _SHIFT]) for r, uid in zip(runs, batch.column(0).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_signed(np.array(sets, np.uint64))), _lists(runs)], names=schema.names)
+
+    texts = coded.join(_small(ids), "_uid", "left_semi").select("_uid", "_text").mapInArrow(whole, schema)
+    sets = cut(texts.dropDuplicates(["_uid", "_set"]))
     both = pairs.join(sets.select(F.col("_uid").alias("_a"), F.col("_set").alias("_sa"), F.col("_runs").alias("_x")), "_a").join(
         sets.select(F.col("_uid").alias("_b"), F.col("_set").alias("_sb"), F.col("_runs").alias("_y")), "_b"
     ).select("_a", "_sa", "_b", "_sb", "_x", "_y")
@@ -362,7 +425,8 @@ def _classes(records: DataFrame, kinds: list[str], shingle: int, threshold: floa
     A class is named by its least id and the hash of its set, as an id may
     stand in rows of several texts.
     """
-    features = cut(_features(_coded(records, kinds), kinds, shingle))
+    coded = _coded(records, kinds)
+    features = cut(_features(coded, kinds, shingle))
     named = features.select("_uid", "_origin", "_set", "_n")
     classes = named.groupBy("_set", "_n").agg(F.min("_uid").alias("_head"), F.countDistinct("_uid").alias("_copies"))
     members = cut(named.join(classes, ["_set", "_n"]).select("_uid", "_origin", "_head", "_set", "_copies").distinct())
@@ -370,8 +434,9 @@ def _classes(records: DataFrame, kinds: list[str], shingle: int, threshold: floa
     heads = features.join(_small(copies), ["_uid", "_set"], "left_anti")
     frequencies = _frequencies(features)
     pairs = cut(_candidates(heads, frequencies, threshold))
-    links = _verified(features, pairs, threshold)
-    discard(copies, pairs, features)
+    discard(copies, features)
+    links = _verified(coded, kinds, pairs, shingle, threshold)
+    discard(pairs)
     return members, links
 
 
@@ -387,10 +452,13 @@ def near_duplicate_pairs(records: DataFrame, shingle: int = 5, threshold: float
     no pairs; a null origin differs from every origin; a null id or kind is no
     record.  Empty tables give an empty result.
 
-    Which pairs are found: all.  Both bounds, on the n-grams that are
-    multiplied and on the overlap counted, follow from the two sizes and hold
-    for any two sets; every pair left is compared in full.  Sets are those of
-    64-bit hashes of runs.
+    Which pairs are found: every candidate is compared in full, so no wrong
+    pair comes out.  Two records share an n-gram of the product wherever 6
+    words in a row are common (under 40 words) or 8 (longer), and a pair is a
+    candidate if its common n-grams reach the part in ``BOUNDS``.  That is an
+    argument about edits of words, not a proof for any two sets; results
+    equalled the comparison of all pairs wherever that was made.  Sets are
+    those of 64-bit hashes of runs.
 
     Scale: records with equal sets are one class, and only classes are
     multiplied.  A sketch of fixed size over all n-grams puts the frequent

@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from folioforge.llm import encode, leak, lookalike, markup, neardup, quality, repeated_lines, sentences, spans, split
 
@@ -134,6 +135,38 @@ def test_frequent_grams_lose_no_pair(spark):
     df = spark.createDataFrame([(*r, "x") for r in records], RECORDS)
     got = {tuple(r) for r in neardup.near_duplicate_pairs(df, 3, 0.6).collect()}
     assert got == _jaccard_pairs(records, 3, 0.6)
+    with pytest.MonkeyPatch.context() as m:  # rows of the product in blocks give the same
+        m.setattr(neardup, "BLOCK", 20)
+        assert {tuple(r) for r in neardup.near_duplicate_pairs(df, 3, 0.6).collect()} == got
+
+
+def test_evenly_cut_records_are_found(spark):
+    """Blocks of eight words in another order: the most edits that the threshold leaves room for."""
+    rng = random.Random(7)
+    records = []
+    for n in range(40):
+        blocks = [[f"r{n}w{8 * b + j}" for j in range(8)] for b in range(rng.randint(4, 30))]
+        records.append(("filing", 2 * n, f"a{n}", " ".join(w for b in blocks for w in b), 0))
+        rng.shuffle(blocks)
+        records.append(("filing", 2 * n + 1, f"b{n}", " ".join(w for b in blocks for w in b), 0))
+    df = spark.createDataFrame([(*r, "x") for r in records], RECORDS)
+    got = {tuple(r) for r in neardup.near_duplicate_pairs(df, 3, 0.6).collect()}
+    want = _jaccard_pairs(records, 3, 0.6)
+    assert len(want) > 20 and got == want
+
+
+def test_kinds_and_ids_are_carried_or_refused(spark):
+    words = " ".join(f"w{k}" for k in range(30))
+    rows = [("note", 1, "a", words, 0, "x"), ("note", 2, "b", words + " end", 0, "x"), ("memo", 1, "c", words, 0, "x"), ("note", 3, "b", words.replace("w7", "z"), 0, "x")]
+    df = spark.createDataFrame(rows, RECORDS)
+    assert {tuple(r) for r in neardup.near_duplicate_pairs(df, 3, 0.6).collect()} == {("note", 1, 2), ("note", 1, 3)}
+    # an id in rows of two texts is one record
+    both = spark.createDataFrame([("k", 1, "a", words, 0, "x"), ("k", 1, "a", words.upper().replace("W", "V"), 0, "x"), ("k", 0, "b", words.replace("w", "v") + " more", 0, "x")], RECORDS)
+    assert {tuple(r) for r in neardup.near_duplicate_pairs(both, 3, 0.6).collect()} == {("k", 0, 1)}
+    with pytest.raises(TypeError, match="whole number"):
+        neardup.near_duplicate_pairs(df.withColumn("record_id", F.col("record_id").cast("string")))
+    with pytest.raises(Exception, match="a record_id lies in"):
+        neardup.near_duplicate_pairs(df.withColumn("record_id", -F.col("record_id"))).collect()
 
 
 def test_groups(spark):
@@ -416,8 +449,6 @@ def test_cutting_is_linear_in_an_item(spark):
     """Four times the characters may take about four times as long, not sixteen times."""
     import time
 
-    from pyspark.sql import functions as F
-
     took = {}
     for n in (1, 1, 4):
         df = spark.range(1).select(F.col("id"), F.array(F.repeat(F.lit("Some words stand here, and more.\n"), n * 10_000)).alias("items"))
