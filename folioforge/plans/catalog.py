@@ -70,7 +70,10 @@ _SPACES = "".join(map(chr, [0xA0, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000
 
 def _sql_sanitized(x: str) -> str:
     """Compatibility forms for the characters the tables hold, then the steps of ``sanitized``."""
-    form = f"translate(replace(replace(replace(coalesce({x}, ''), '…', '...'), chr(3635), chr(3661) || chr(3634)), '™', 'TM'), '{_WIDE}{_SPACES}', '{_PLAIN}{" " * len(_SPACES)}')"
+    signs = f"coalesce({x}, '')"
+    for sign, form in (("…", "..."), ("ำ", "ํา"), ("™", "TM"), ("¼", "1⁄4"), ("½", "1⁄2"), ("¾", "3⁄4")):
+        signs = f"replace({signs}, '{sign}', '{form}')"
+    form = f"translate({signs}, '{_WIDE}{_SPACES}', '{_PLAIN}{" " * len(_SPACES)}')"
     shown = rf"regexp_replace(nfc_normalize({form}), '[^\PC\n\t]+', '', 'g')"
     plain = f"translate({shown}, '‐‑‒–—−®☐☑☒', '------')"
     joined = rf"regexp_replace({plain}, '\$[\s\x{{1c}}-\x{{1f}}\x{{85}}\pZ]+(\p{{Nd}})', '$\1', 'g')"
