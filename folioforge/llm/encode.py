@@ -12,6 +12,7 @@ import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,22 +39,26 @@ def encoding(path: str = DEFAULT_RANKS):
     return _encodings[path]
 
 
+#: White space as the pattern knows it.
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Where the pattern always has a border: no pre-token goes on from another
+#: sign to white space, from a letter to what is none, or from a number to what is none.
+_SAFE = regex.compile(rf"(?<=[^{_WHITE}\x1c-\x1f])(?=[{_WHITE}])|(?<=\p{{L}})(?=[^\p{{L}}\p{{M}}])|(?<=\p{{N}})(?=[^\p{{N}}\p{{M}}])")
+
+
 def safe_pieces(text: str, piece: int = PIECE) -> Iterator[str]:
-    """Cut a text before a blank that follows a letter and precedes a letter.
+    """Cut a text at places where the pattern has a border, whatever surrounds them.
 
-    The pattern then ends one pre-token before the blank and starts the next
-    one with it, whatever surrounds them.  A text without such a place stays
-    whole.
+    White space ends a piece, and so does a change from letters or from
+    numbers to other signs; only one run of one class is longer than a piece.
     """
     start, n = 0, len(text)
     while n - start > piece:
-        at = start + piece
-        while at < n - 1 and not (text[at] == " " and text[at - 1].isalpha() and text[at + 1].isalpha()):
-            at += 1
-        if at >= n - 1:
+        at = _SAFE.search(text, start + piece)
+        if at is None or at.start() >= n:
             break
-        yield text[start:at]
-        start = at
+        yield text[start: at.start()]
+        start = at.start()
     yield text[start:]
 
 

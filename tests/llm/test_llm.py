@@ -381,9 +381,36 @@ def test_ids_round_trip_and_safe_pieces(spark):
     assert got[0] == t.encode(long, add_special_tokens=False).ids
 
 
+def test_every_safe_place_is_a_border():
+    """Pieces of any length give the ids of the whole, also where no blank stands between letters."""
+    rng = random.Random(9)
+    parts = ["当基金", "。", "，", "ไทย", "abc", "A1b2", "42", "'s", "'ll", "'", " ", "  ", "\n", "\t\n ", "\u3000", "\x1c", "!", "…'", "é", "e\u0301", "½", "Ⅷ", "🙂", "_", "\u200b"]
+    enc = encode.encoding()
+    for _ in range(300):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 60)))
+        for piece in (1, 3, 7):
+            cuts = list(encode.safe_pieces(text, piece))
+            assert "".join(cuts) == text and [i for c in cuts for i in enc.encode_ordinary(c)] == enc.encode_ordinary(text), (text, cuts)
+    assert max(map(len, encode.safe_pieces("当前基金，" * 60_000, 1000))) < 1010
+
+
 # ---- leaks
 
 
+def test_lengths_are_those_of_each_item(spark):
+    long = [f"w{k}" for k in range(40)]
+    items = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(["other", *long[27:]])), (3, " ".join(long[5:20]))], "item_id int, text string")
+    docs = spark.createDataFrame([("d", " ".join(["start", *long]))], "doc_id string, text string")
+    got = {r.item_id: (r.longest_run, r.first_word, r.last_word) for r in leak.leaked_items(docs, items).collect()}
+    assert got == {1: (40, 1, 40), 2: (13, 28, 40), 3: (15, 6, 20)}
+    named = leak.leaked_items(docs, items.selectExpr("concat('i', item_id) AS item_id", "text"), block_words=20)
+    assert {(r.item_id, r.longest_run) for r in named.collect()} == {("i1", 40), ("i2", 13), ("i3", 15)}
+    # a capital that grows in lower case is the same for what is found and what is cleaned
+    turkish = docs.select("doc_id", F.concat(F.lit("İ İ "), "text").alias("text"))
+    assert leak.leaked_items(turkish, items).count() == 3 and leak.without_leaks(turkish, items, max_coverage=1.0).first().text == "İ İ start "
+
+
+
 def test_leaks_match_brute_force(spark):
     rng = random.Random(4)
     vocabulary = [f"v{n}" for n in range(30)]
