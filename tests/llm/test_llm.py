@@ -362,6 +362,42 @@ def test_lookalikes(spark):
     assert lookalike.lookalike_names(df.limit(0), names).count() == 0 and lookalike.lookalike_names(df, names.limit(0)).count() == 0
 
 
+def test_doubles_of_many_scripts(spark):
+    names = spark.createDataFrame([("p", "Palo Hill CoreBond Fund"), ("w", "Yarilow Income Trust")], "entity_id string, name string")
+    same = [
+        "Palo\u034f Hill CoreBond Fund", "Palo H\u3164ill CoreBond Fund", "Palo Hi\u180bll CoreBond Fund", "\u13e2alo Hill CoreBond Fund", "\ua4d1alo Hill CoreBond Fund",
+        "Palo Hill \u2ca4oreBond Fund".replace("\u2ca4", "\u2ca4"), "Palo Hil\u04cf CoreBond Fund", "Palo \u04baill CoreBond Fund".replace("\u04ba", "\u041d"), "Palo Hill CoreBond Fund".replace("o", "\u0585"), "P\u0430lo" + " " * 300 + "x",
+    ]
+    df = spark.createDataFrame([("text", k, 0, t) for k, t in enumerate(same)], "field string, record_id bigint, item_no int, text string")
+    got = {r.record_id: r.entity_id for r in lookalike.lookalike_names(df, names).collect()}
+    assert {k for k in range(5)} <= set(got) and set(got.values()) == {"p"} and 7 in got and 8 in got
+    # however far the words around stand, they decide what a word alone leaves open
+    far = spark.createDataFrame([("text", 1, 0, "Фонд" + " " * 500 + "сор"), ("text", 2, 0, "Fund" + " " * 500 + "сор")], "field string, record_id bigint, item_no int, text string")
+    assert {r.record_id: r.text[-3:] for r in lookalike.in_one_form(far, names).collect()} == {1: "сор", 2: "cop"}
+
+
+def test_the_search_equals_that_over_every_path():
+    rng = random.Random(11)
+    doubles = {"а": "a", "о": "o", "с": "c", "І": "Il", "З": "3"}
+    model = lookalike.Model(["Cola Alco", "Ill Oca"], doubles)
+
+    def worth(text, path):
+        total, last, script = 0.0, " ", ""
+        for c, o in zip(text, path, strict=True):
+            kind = lookalike._script(o)
+            if kind and script and kind != script:
+                total += lookalike._SCORES["switch"] * (1 if last == " " else 2)
+            if c in doubles:
+                total += (0.0 if o == c else lookalike._SCORES["double"]) + (0.3 * model.odds.get((last, o), -1.0) if kind == "L" else 0.0)
+            last, script = (o if kind else " "), kind or script
+        return total
+
+    for _ in range(200):
+        text = "".join(rng.choices("аосІЗlc жЖ1.", k=rng.randint(1, 8)))
+        best = max(worth(text, p) for p in itertools.product(*((c, *doubles.get(c, "")) for c in text)))
+        assert abs(worth(text, model.resolve(text)) - best) < 1e-9, text
+
+
 # ---- encoding
 
 
