@@ -2,9 +2,8 @@
 
 The similarity of two records is the share of their union that their sets of
 ``shingle``-word runs have in common.  The candidates come from a sparse
-matrix product of record by n-gram.  A record's n-grams are put in an order
-common to all records, the frequent ones last; its last tenth stays out of the
-product.  Rows of one n-gram are multiplied block by block, the overlap counts
+matrix product of record by n-gram, from which the most frequent n-grams stay
+out, but never so many of a record's that a pair could hide in them.  Rows of one n-gram are multiplied block by block, the overlap counts
 of each pair add up, and pairs below the bound that follows from their sizes
 are discarded.  Candidates are then compared set against set.
 """
@@ -31,8 +30,10 @@ GRAM = 5
 WINDOWS = ((40, 4), (0, 2))
 #: Of the smaller record's n-grams, the share a pair has in common at least, by its least runs.
 BOUNDS = ((40, 0.25), (0, 0.35))
-#: The most frequent part of a record's n-grams, which stays out of the product; less than 0.6 of the bounds.
-LEFT_OUT = 0.1
+#: The part of all occurrences of n-grams, the most frequent ones, that stays out of the product.
+FREQUENT_PART = 0.12
+#: Common n-grams that two records of one size must show in the product at least, and as a share of theirs: a record keeps frequent ones too if it has too few others.
+LEAST_SHOWN, LEAST_SHOWN_SHARE = 3, 0.05
 #: Ids that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Records that one block of an n-gram's row holds at most, about.
@@ -170,17 +171,49 @@ def _set_hash(runs: np.ndarray, salt: np.uint64) -> np.uint64:
     return runs.sum(dtype=np.uint64) * np.uint64(3) + np.bitwise_xor.reduce(_mix(runs)) + salt
 
 
+def bitmap(runs: np.ndarray) -> bytes:
+    """Two bits or more for each run; a bit tells whether an odd number of runs falls on it."""
+    width = max(64, 1 << (2 * len(runs) - 1).bit_length())
+    return np.packbits(np.bincount((runs & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).tobytes()
+
+
+def unlike(x: bytes, y: bytes) -> int:
+    """Runs that only one of two sets holds, at least."""
+    a, b = (np.frombuffer(v, np.uint8) for v in (x, y))
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) > len(a):  # a wide bitmap folds into a narrow one
+        b = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return int.from_bytes((a ^ b).tobytes(), "little").bit_count()
+
+
+def _alike(pairs: DataFrame, heads: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose bitmaps allow the threshold: a whole set need not be sent for the others."""
+    known = heads.select("_uid", "_n", "_bits")
+    x = known.select(F.col("_uid").alias("_a"), F.col("_n").alias("_na"), F.col("_bits").alias("_x"))
+    y = known.select(F.col("_uid").alias("_b"), F.col("_n").alias("_nb"), F.col("_bits").alias("_y"))
+    both = pairs.join(x, "_a").join(y, "_b").select("_a", "_b", "_na", "_nb", "_x", "_y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in range(2, 6)), strict=True)
+            keep = [unlike(x, y) <= (n + m) * (1 - threshold) / (1 + threshold) + 1e-6 for n, m, x, y in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["_a", "_b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "_a bigint, _b bigint").distinct()
+
+
 def _features(coded: DataFrame, kinds: list[str], shingle: int) -> DataFrame:
-    """(_uid, _origin, _n, _set, _grams): size and hash of the shingle set, and the n-grams."""
+    """(_uid, _origin, _n, _set, _bits, _grams): size, hash and bitmap of the shingle set, and the n-grams."""
     schema = T.StructType([
         *(coded.schema[c] for c in ("_uid", "_origin")), T.StructField("_n", T.IntegerType()),
-        T.StructField("_set", T.LongType()), T.StructField("_grams", T.ArrayType(T.LongType())),
+        T.StructField("_set", T.LongType()), T.StructField("_bits", T.BinaryType()), T.StructField("_grams", T.ArrayType(T.LongType())),
     ])
     salts = _salts(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, sizes, sets, grams = [], [], [], []
+            at, sizes, sets, bits, grams = [], [], [], [], []
             rows = zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), strict=True)
             for k, (uid, text, least) in enumerate(rows):
                 if not text:
@@ -194,11 +227,12 @@ def _features(coded: DataFrame, kinds: list[str], shingle: int) -> DataFrame:
                     at.append(k)
                     sizes.append(len(runs))
                     sets.append(_set_hash(runs, salt))
+                    bits.append(bitmap(runs))
                     grams.append(anchors_of(words) ^ salt)
             take = pa.array(at, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(sizes, pa.int32()),
-                 pa.array(_signed(np.array(sets, np.uint64))), _lists(grams)],
+                 pa.array(_signed(np.array(sets, np.uint64))), pa.array(bits, pa.binary()), _lists(grams)],
                 names=schema.names,
             )
 
@@ -215,7 +249,7 @@ def _bucket(grams: np.ndarray) -> np.ndarray:
 
 
 def _frequencies(features: DataFrame):
-    """A sketch of how often each n-gram occurs, on every worker.
+    """A sketch of how often each n-gram occurs, and the level above which one is frequent, on every worker.
 
     Each task counts all of its n-grams in a fixed number of counters; the
     counters of all tasks add up part by part, and one byte of each, on a
@@ -255,31 +289,52 @@ def _frequencies(features: DataFrame):
     levels = np.zeros(1 << SKETCH_BITS, np.uint8)
     for part, level in parts.collect():  # one byte for each counter, whatever the corpus
         levels[part * width: (part + 1) * width] = np.frombuffer(zlib.decompress(level), np.uint8)
-    return features.sparkSession.sparkContext.broadcast(levels)
+    # the level above which n-grams are frequent
+    mass = np.bincount(levels, minlength=256) * (2.0 ** (np.arange(256) / 8) - 1)
+    above = mass.sum() - np.cumsum(mass)
+    common = int(np.argmax(above <= FREQUENT_PART * mass.sum()))
+    return features.sparkSession.sparkContext.broadcast((levels, common))
 
 
-def kept(sizes: np.ndarray) -> np.ndarray:
-    """How many of a record's n-grams enter the product, the rarest ones."""
-    return sizes - np.floor(LEFT_OUT * sizes).astype(np.int64)
+def most_left_out(sizes: np.ndarray) -> np.ndarray:
+    """How many of a record's n-grams may stay out of the product: so few that of the common
+    ones of two records of this size ``LEAST_SHOWN`` or the share given must still meet there."""
+    shown = np.maximum(LEAST_SHOWN, np.ceil(LEAST_SHOWN_SHARE * sizes))
+    return np.maximum(0, np.floor(BOUNDS[0][1] * sizes) - 1 - shown).astype(np.int64)
 
 
-def needed(na: np.ndarray, nb: np.ndarray, sa: np.ndarray, sb: np.ndarray, ea: np.ndarray, eb: np.ndarray) -> np.ndarray:
-    """Common n-grams a pair must show in the product, from its runs, its n-grams and where its kept ones end.
+def needed(runs: tuple, sizes: tuple, frequent: tuple, ends: tuple) -> np.ndarray:
+    """Common n-grams that a pair must show in the product, from each record's
+    runs, n-grams, frequent n-grams and the place in the order where its kept
+    ones end.
 
-    In the common order one record's kept n-grams end first; what is common
-    beyond that lies in the part which that record left out.
+    What is common but not kept by both is frequent for both.  It also lies in
+    what the record left out whose kept ones end first.
     """
-    n, share = np.minimum(na, nb), np.zeros(len(na))
+    n, share = np.minimum(*runs), np.zeros(len(runs[0]))
     for least, part in reversed(BOUNDS):
         share = np.where(n >= least, part, share)
-    ra, rb = sa - kept(sa), sb - kept(sb)
-    out = np.where(ea < eb, ra, np.where(eb < ea, rb, np.maximum(ra, rb)))
-    return np.maximum(1, np.ceil(share * np.minimum(sa, sb)).astype(np.int64) - 1 - out)
+    out = [np.minimum(f, most_left_out(s)) for f, s in zip(frequent, sizes, strict=True)]
+    first = np.where(ends[0] < ends[1], out[0], np.where(ends[1] < ends[0], out[1], np.maximum(*out)))
+    hidden = np.minimum(first, np.minimum(*frequent))
+    return np.maximum(1, np.ceil(share * np.minimum(*sizes)).astype(np.int64) - 1 - hidden)
+
+
+def _packed(runs, sizes, frequent, ends, side) -> np.ndarray:
+    """One number of five: bounds stay safe where a field is cut off or rounded."""
+    runs, short = np.minimum(runs, (1 << 24) - 1), np.minimum(sizes, (1 << 18) - 1)
+    part = np.minimum(np.ceil(1023 * frequent / np.maximum(sizes, 1)).astype(np.int64), 1023)
+    return (((runs << 18 | short) << 10 | part) << 8 | ends) << 2 | side
+
+
+def _unpacked(facts: np.ndarray):
+    """(runs, sizes, frequent, ends, side)"""
+    sizes = facts >> 20 & (1 << 18) - 1
+    return facts >> 38, sizes, np.ceil((facts >> 10 & 1023) * sizes / 1023).astype(np.int64), facts >> 2 & 255, facts & 3
 
 
 def _rows(heads: DataFrame, frequencies) -> DataFrame:
-    """(_gram, _uid, _facts): the kept n-grams of each record; ``_facts`` packs its runs,
-    its n-grams, the level at which the kept ones end, and its side of a block pair.
+    """(_gram, _uid, _facts): the n-grams of each record that are multiplied, and what bounds need to know.
 
     The order is that of the sketch, then of the hash.  An n-gram of more than
     ``BLOCK`` records is cut into blocks of records; a record's row goes once
@@ -290,15 +345,16 @@ def _rows(heads: DataFrame, frequencies) -> DataFrame:
     parts = np.maximum(1, np.ceil((2.0 ** (levels / 8) - 1) / BLOCK)).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = frequencies.value
+        sketch, common = frequencies.value
         for batch in batches:
             flat, sizes = _flat(batch.column(2))
             uid, runs = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1))
-            keep = kept(sizes)
             starts = np.cumsum(sizes) - sizes
             record = np.repeat(np.arange(len(sizes)), sizes)
             level = sketch[_bucket(flat)]
             order = np.lexsort((flat, level, record))
+            frequent = np.bincount(record[level > common], minlength=len(sizes))
+            keep = sizes - np.minimum(frequent, most_left_out(sizes))
             ends = np.full(len(sizes), 255, np.int64)
             cut_off = np.flatnonzero(keep < sizes)
             ends[cut_off] = level[order[starts[cut_off] + keep[cut_off]]]
@@ -317,7 +373,7 @@ def _rows(heads: DataFrame, frequencies) -> DataFrame:
                 owners.append(w)
                 sides.append(np.where(own == other, 0, np.where(own < other, 1, 2)))
             who = np.concatenate(owners)
-            facts = (((runs << 24 | np.minimum(sizes, (1 << 24) - 1)) << 8 | ends) << 2)[who] | np.concatenate(sides)
+            facts = _packed(runs, sizes, frequent, ends, 0)[who] | np.concatenate(sides)
             yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(keys))), pa.array(uid[who]), pa.array(facts)], names=["_gram", "_uid", "_facts"])
 
     return heads.select("_uid", "_n", "_grams").mapInArrow(run, "_gram bigint, _uid bigint, _facts bigint")
@@ -327,7 +383,8 @@ def _product(threshold: float):
     """Rows (_gram, _uid, _facts), sorted by _gram, to counted pairs (_a, _b, _needed, _common) of sizes that allow the threshold."""
 
     def counted(gram: np.ndarray, uid: np.ndarray, facts: np.ndarray) -> pa.RecordBatch:
-        side, end, size, runs = facts & 3, facts >> 2 & 255, facts >> 10 & (1 << 24) - 1, facts >> 34
+        *known, side = _unpacked(facts)
+        runs = known[0]
         found = [np.zeros((0, 3), np.int64)]
         x = np.arange(len(gram))
         for step in range(1, len(gram)):
@@ -339,7 +396,7 @@ def _product(threshold: float):
             # a repeated row is no partner; of two blocks only rows of different ones are
             fits = (np.minimum(runs[a], runs[b]) >= threshold * np.maximum(runs[a], runs[b]) - 1e-9) & (uid[a] != uid[b]) & ((side[a] == 0) | (side[a] != side[b]))
             a, b = a[fits], b[fits]
-            need = needed(runs[a], runs[b], size[a], size[b], end[a], end[b])
+            need = needed(*((f[a], f[b]) for f in known))
             found.append(np.stack([np.minimum(uid[a], uid[b]), np.maximum(uid[a], uid[b]), need], 1))
         pairs = np.concatenate(found)
         pairs = pairs[np.lexsort(pairs.T[::-1])]
@@ -400,7 +457,7 @@ def _verified(coded: DataFrame, kinds: list[str], pairs: DataFrame, shingle: int
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_signed(np.array(sets, np.uint64))), _lists(runs)], names=schema.names)
 
     texts = coded.join(_small(ids), "_uid", "left_semi").select("_uid", "_text").mapInArrow(whole, schema)
-    sets = cut(texts.dropDuplicates(["_uid", "_set"]))
+    sets = cut(texts)
     both = pairs.join(sets.select(F.col("_uid").alias("_a"), F.col("_set").alias("_sa"), F.col("_runs").alias("_x")), "_a").join(
         sets.select(F.col("_uid").alias("_b"), F.col("_set").alias("_sb"), F.col("_runs").alias("_y")), "_b"
     ).select("_a", "_sa", "_b", "_sb", "_x", "_y")
@@ -414,7 +471,8 @@ def _verified(coded: DataFrame, kinds: list[str], pairs: DataFrame, shingle: int
                 keep.append(common >= threshold * (len(x) + len(y) - common) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in range(4)], names=["_a", "_sa", "_b", "_sb"]).filter(pa.array(keep, pa.bool_()))
 
-    links = cut(both.mapInArrow(compare, "_a bigint, _sa bigint, _b bigint, _sb bigint"))
+    # repeated rows of a record repeat its links
+    links = cut(both.mapInArrow(compare, "_a bigint, _sa bigint, _b bigint, _sb bigint").distinct())
     discard(ids, sets)
     return links
 
@@ -433,7 +491,7 @@ def _classes(records: DataFrame, kinds: list[str], shingle: int, threshold: floa
     copies = cut(members.where(F.col("_uid") != F.col("_head")).select("_uid", "_set"))
     heads = features.join(_small(copies), ["_uid", "_set"], "left_anti")
     frequencies = _frequencies(features)
-    pairs = cut(_candidates(heads, frequencies, threshold))
+    pairs = cut(_alike(_candidates(heads, frequencies, threshold), heads, threshold))
     discard(copies, features)
     links = _verified(coded, kinds, pairs, shingle, threshold)
     discard(pairs)

@@ -155,6 +155,16 @@ def test_evenly_cut_records_are_found(spark):
     assert len(want) > 20 and got == want
 
 
+def test_bitmaps_never_rule_out_a_pair():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        every = np.unique(rng.integers(0, 2**63, 400).astype(np.uint64))
+        x, y = (np.sort(rng.choice(every, rng.integers(1, 400), replace=False)) for _ in range(2))
+        assert neardup.unlike(neardup.bitmap(x), neardup.bitmap(y)) <= len(np.setxor1d(x, y))
+
+
 def test_kinds_and_ids_are_carried_or_refused(spark):
     words = " ".join(f"w{k}" for k in range(30))
     rows = [("note", 1, "a", words, 0, "x"), ("note", 2, "b", words + " end", 0, "x"), ("memo", 1, "c", words, 0, "x"), ("note", 3, "b", words.replace("w7", "z"), 0, "x")]
