@@ -3,11 +3,11 @@
 Three parts:
 
 * token classes of the four languages, as patterns for the JVM that no length of a span bounds;
-* clean text that keeps headings, lists, tables, code and formulas;
 * wrappers: union-free regular expressions over the token streams of one
-  host's pages, inferred by iterative alignment.  Mismatches become optional
-  or repeated groups, differing texts become slots; what stays constant is
-  the host's page furniture.
+  host's pages or chunks, inferred by iterative alignment.  Mismatches become
+  optional or repeated groups, differing texts become slots; what stays
+  constant is the host's page furniture, or its leftover markup;
+* clean text that keeps headings, lists, tables, code and formulas.
 """
 
 from __future__ import annotations
@@ -15,15 +15,18 @@ from __future__ import annotations
 import html
 import json
 import re
-import zlib
 from collections.abc import Iterator
 from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from folioforge.runtime import cut
 
 #: Element names of HTML.
 TAGS = (
@@ -63,19 +66,108 @@ def _chunks(df: DataFrame, id_col: str, chunks_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("_id"), F.posexplode(chunks_col).alias("chunk_no", "_chunk"))
 
 
-def markup_residue(df: DataFrame, id_col: str = "chunked_id", chunks_col: str = "text_chunks") -> DataFrame:
+#: Signs that stand around or before a text, longest first, for the name of a token.
+_AROUND = ("```", "**", "__", "~~", "`", "![", "[[", "{{", "'''", "''", "{|", "|}", "|-", "$$", "$", "[")
+
+
+def sign_of(kind: str, token: str) -> str:
+    """What a token is called in a stream: its element, its command, or the signs around its text."""
+    if kind == "html":
+        m = re.match(r"</?[A-Za-z][A-Za-z0-9]*", token)
+        return m.group().lower() + ">" if m else "&;" if token[0] == "&" else "<!>"
+    if kind == "latex" and token[0] == "\\":
+        return token
+    if token[0] in "#=":
+        return token[0]
+    return next((x for x in _AROUND if token.startswith(x)), kind)
+
+
+def chunk_stream(chunk: str, tokens: dict[str, list[str]]) -> list[list]:
+    """The token stream of a chunk as a folded wrapper: markup tokens by kind and sign, texts between them as slots."""
+    found = []
+    for kind, own in tokens.items():
+        at = 0
+        for token in own:
+            at = chunk.index(token, at)
+            found.append((at, at + len(token), f"{kind} {sign_of(kind, token)}"))
+            at += len(token)
+    elements, done = [], 0
+    for a, b, name in sorted(found):
+        if chunk[done:a].strip():
+            elements.append(["slot", "", False])
+        elements.append(["tag", name, False])
+        done = max(done, b)
+    if chunk[done:].strip():
+        elements.append(["slot", "", False])
+    return fold_repeats(elements)
+
+
+def signs_in(wrapper: list[list]) -> list[str]:
+    """The constant tokens of a wrapper, those in groups too, each once."""
+    out: dict[str, None] = {}
+    todo = list(reversed(wrapper))
+    while todo:
+        kind, value, _ = todo.pop()
+        if kind == "rep":
+            todo.extend(reversed(value))
+        elif kind == "tag":
+            out[value] = None
+    return list(out)
+
+
+def _streams(df: DataFrame, id_col: str, host_col: str, chunks_col: str) -> DataFrame:
+    """(_id, _host, chunk_no, _tokens, _stream, _signs) of the chunks that hold any token."""
+    rows = df.select(F.col(id_col).alias("_id"), F.col(host_col).alias("_host"), F.posexplode(chunks_col).alias("chunk_no", "_chunk"))
+    every = F.struct(*(F.regexp_extract_all("_chunk", F.lit(p), F.lit(0)).alias(kind) for kind, p in TOKENS.items()))
+    # the outer form keeps the patterns from being run once for the test and once for the result
+    rows = rows.where(F.length("_chunk") > 0).select("_id", "_host", "chunk_no", "_chunk", F.explode_outer(F.array(every)).alias("_tokens"))
+    some = F.lit(0)
+    for kind in TOKENS:
+        some = some + F.size(f"_tokens.{kind}")
+
+    @F.pandas_udf("_stream string, _signs array<string>")
+    def stream(chunks: pd.Series, tokens: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for chunk, own in zip(chunks, tokens.to_dict("records"), strict=True):
+            w = chunk_stream(chunk, {k: list(v) for k, v in own.items()})
+            out.append((json.dumps(w), signs_in(w)))
+        return pd.DataFrame(out, columns=["_stream", "_signs"])
+
+    rows = rows.where(some > 0).withColumn("_s", stream("_chunk", "_tokens"))
+    return rows.select("_id", "_host", "chunk_no", "_tokens", "_s._stream", "_s._signs")
+
+
+def chunk_wrappers(df: DataFrame, id_col: str = "chunked_id", host_col: str = "cik", chunks_col: str = "text_chunks") -> DataFrame:
+    """``(<host_col>, chunks BIGINT, wrapper STRING)``: one wrapper of the leftover markup for each host that has any."""
+    w = inferred(_streams(df, id_col, host_col, chunks_col).select("_host", "_stream"))
+    return w.select(F.col("_host").alias(host_col), F.col("_count").alias("chunks"), _shown("_wrapper").alias("wrapper"))
+
+
+def markup_residue(df: DataFrame, id_col: str = "chunked_id", host_col: str = "cik", chunks_col: str = "text_chunks") -> DataFrame:
     """``(<id_col>, chunk_no, markup, tokens)``: chunks with leftover markup,
     one row for each language, with its tokens in order.
 
-    Null arrays, null chunks and empty chunks give nothing; repeated rows
-    repeat theirs.  Runs where the rows are read: no shuffle, no Python.
+    The streams of a host's chunks are aligned to one wrapper; its constant
+    elements are the host's markup, and a chunk has leftovers of a language if
+    its stream holds constant elements of that language.  Texts become slots,
+    tokens never do, so no token of a stream is lost on the way.
+
+    Null arrays, null chunks and empty chunks give nothing; a null host is a
+    host of its own; repeated rows repeat theirs.
+
+    Scale: chunks without any token are dropped where they are read.  Equal
+    streams of a host are merged once, with their count; the elements of a
+    wrapper are few (tag names, commands, signs), and join the chunks by host
+    and sign, where the runtime broadcasts them if they measure small and
+    otherwise splits skewed hosts.
     """
-    streams = F.array(*(
-        F.struct(F.lit(kind).alias("markup"), F.regexp_extract_all("_chunk", F.lit(p), F.lit(0)).alias("tokens"))
-        for kind, p in TOKENS.items()
-    ))
-    rows = _chunks(df, id_col, chunks_col).where(F.col("_chunk").isNotNull()).select("_id", "chunk_no", F.explode(streams).alias("_s"))
-    return rows.where(F.size("_s.tokens") > 0).select(F.col("_id").alias(id_col), "chunk_no", "_s.markup", "_s.tokens")
+    streams = cut(_streams(df, id_col, host_col, chunks_col).withColumn("_row", F.monotonically_increasing_id()))
+    elements = inferred(streams.select("_host", "_stream")).select(F.col("_host").alias("_of"), F.explode(_elements("_wrapper")).alias("_constant"))
+    signs = streams.select("_row", "_host", F.explode("_signs").alias("_sign"))
+    met = signs.join(elements, F.col("_host").eqNullSafe(F.col("_of")) & (F.col("_sign") == F.col("_constant")))
+    kinds = met.select("_row", F.split_part("_sign", F.lit(" "), F.lit(1)).alias("markup")).distinct()
+    own = F.coalesce(*(F.when(F.col("markup") == kind, F.col(f"_tokens.{kind}")) for kind in TOKENS))
+    return streams.join(kinds, "_row").select(F.col("_id").alias(id_col), "chunk_no", "markup", own.alias("tokens"))
 
 
 #: Rewrites that turn leftover markup into text, in order.
@@ -92,13 +184,16 @@ _HTML_STEPS = [
     (rf"(?i)</?(?:{'|'.join(TAGS)})(?:\s[^<>]*)?/?>|</(?:{'|'.join(TAGS)})(?=\s|$)|<!--|-->", ""),
 ]
 _OTHER_STEPS = [
-    (r"\\(?:sub)*section\*?\{([^{}\n]++)\}", "# $1"),
+    (r"\\(?:part|chapter|(?:sub)*section|(?:sub)?paragraph)\*?\{([^{}\n]++)\}", "# $1"),
     (r"\\(?:textbf|textit|emph|underline)\{([^{}\n]++)\}", "$1"),
     (r"\\item\b[ \t]*", "- "),
     (r"\\(?:begin|end)\{(?:itemize|enumerate|document|center)\}", ""),
     (r"(?m)^={2,6}[ \t]*([^=\n]+?)[ \t]*={2,6}[ \t]*$", "# $1"),
-    (r"\[\[(?:[^\]\[|\n]++\|)?([^\]\[|\n]++)\]\]", "$1"),
-    (r"\{\{[^{}\n]++\}\}[ \t]?", ""),
+    (r"\[\[(?:[^\]\[|\n]*+\|)*+([^\]\[|\n]++)\]\]", "$1"),
+    (r"\{\{[^{}]++\}\}[ \t]?", ""),
+    (r"(?m)^\[[^\]\[\n]++\]:[ \t]+\S++.*$\n?", ""),
+    (r"\[([^\]\[\n]++)\]\[[^\]\[\n]*+\]", "$1"),
+    (r"(?m)^([^\s=].*)\n={3,}[ \t]*$", "# $1"),
     (r"'''?([^'\n]++)'''?", "$1"),
     (r"(?m)^(?:\{\|.*|\|\}|\|-)[ \t]*\n?", ""),
     (r"!?\[([^\]\[\n]++)\]\([^()\s]++\)", "$1"),
@@ -348,57 +443,68 @@ def shown(wrapper: list[list]) -> str:
     return " ".join(parts)
 
 
-def host_wrappers(
-    df: DataFrame, host_col: str = "cik", pages_col: str = "html_pages", salts: int = 64, hold: int = 200_000
-) -> DataFrame:
+def inferred(streams: DataFrame, salts: int = 1024) -> DataFrame:
+    """(_host, _count, _wrapper): one wrapper for each host of rows (_host, _stream).
+
+    Equal streams are merged once, with their count.  The others go, by a hash
+    of the stream, into ``salts`` parts of their host and are aligned there in
+    their order, one after the other as they arrive; then the parts are.  So
+    the wrapper depends on the streams alone, no group is held in memory, and
+    a hot host is spread over many tasks.  No wrapper is cut: its length
+    follows the variety of the host's streams.
+    """
+    host = streams.schema["_host"]
+    schema = T.StructType([T.StructField("_host", host.dataType), T.StructField("_salt", T.IntegerType()), T.StructField("_count", T.LongType()), T.StructField("_stream", T.StringType())])
+    arrow = to_arrow_schema(schema)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(at: tuple, n: int, w: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"_host": at[0], "_salt": at[1], "_count": n, "_stream": json.dumps(w, ensure_ascii=False)}], schema=arrow)
+
+        at, n, held = None, 0, []
+        for batch in batches:
+            for *key, count, stream in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
+                new = json.loads(stream)
+                if at == tuple(key):
+                    n, held = n + count, align(held, new)
+                    continue
+                if at is not None:
+                    yield out(at, n, held)
+                at, n, held = tuple(key), count, new
+        if at is not None:
+            yield out(at, n, held)
+
+    once = streams.groupBy("_host", "_stream").agg(F.count(F.lit(1)).alias("_count"))
+    rows = once.select("_host", F.pmod(F.xxhash64("_stream"), F.lit(salts)).cast("int").alias("_salt"), "_count", "_stream")
+    parts = rows.repartition("_host", "_salt").sortWithinPartitions("_host", "_salt", "_stream").mapInArrow(merge, schema)
+    whole = parts.repartition("_host").sortWithinPartitions("_host", "_salt").select("_host", F.lit(0).alias("_salt"), "_count", "_stream").mapInArrow(merge, schema)
+    return whole.select("_host", "_count", F.col("_stream").alias("_wrapper"))
+
+
+@F.pandas_udf(T.StringType())
+def _shown(s: pd.Series) -> pd.Series:
+    return s.map(lambda w: shown(json.loads(w)))
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _elements(s: pd.Series) -> pd.Series:
+    return s.map(lambda w: signs_in(json.loads(w)))
+
+
+@F.pandas_udf(T.StringType())
+def _page_stream(s: pd.Series) -> pd.Series:
+    return s.map(lambda page: json.dumps(wrapper_of(page), ensure_ascii=False))
+
+
+def host_wrappers(df: DataFrame, host_col: str = "cik", pages_col: str = "html_pages") -> DataFrame:
     """``(<host_col>, pages BIGINT, wrapper STRING)``: one wrapper for each host.
 
-    Each task first merges its own pages host by host and passes the partial
-    wrappers on at its end, or once they hold ``hold`` elements together; those
-    merge in two salted rounds.  No wrapper is cut: its length follows the
-    variety of the host's pages.  Hosts whose pages are all null, empty or missing do
-    not appear; a null host is a host of its own.
+    Hosts whose pages are all null, empty or missing do not appear; a null
+    host is a host of its own.
     """
     rows = df.select(F.col(host_col).alias("_host"), F.explode(pages_col).alias("_page")).where(F.length("_page") > 0)
-    host_type = rows.schema["_host"].dataType
-    schema = T.StructType([
-        T.StructField("_host", host_type), T.StructField("_salt", T.IntegerType()),
-        T.StructField("_pages", T.LongType()), T.StructField("_wrapper", T.StringType()),
-    ])
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict = {}
-        elements = 0
-        for pdf in batches:
-            for host, page in zip(pdf["_host"], pdf["_page"], strict=True):
-                host = None if pd.isna(host) else host
-                n, old = held.get(host, (0, []))
-                new = align(old, wrapper_of(page)) if n else wrapper_of(page)
-                held[host] = (n + 1, new)
-                elements += len(new) - len(old)
-                if len(held) >= 2000 or elements >= hold:
-                    yield out(held)
-                    held, elements = {}, 0
-        yield out(held)
-
-    def out(held: dict) -> pd.DataFrame:
-        rows = []
-        for host, (n, w) in held.items():
-            shown_form = json.dumps(w)
-            rows.append((host, zlib.crc32(shown_form.encode()) % salts, n, shown_form))
-        return pd.DataFrame(rows, columns=["_host", "_salt", "_pages", "_wrapper"])
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_pages", "_wrapper"], ascending=[False, True])
-        whole = json.loads(pdf["_wrapper"].iloc[0])
-        for other in pdf["_wrapper"].iloc[1:]:
-            whole = align(whole, json.loads(other))
-        return pd.DataFrame({"_host": pdf["_host"].iloc[:1], "_salt": [0], "_pages": [int(pdf["_pages"].sum())], "_wrapper": [json.dumps(whole)]})
-
-    once = rows.mapInPandas(partial, schema).groupBy("_host", "_salt").applyInPandas(merge, schema)
-    twice = once.groupBy("_host").applyInPandas(merge, schema)
-    show = F.pandas_udf(lambda s: s.map(lambda w: shown(json.loads(w))), "string")
-    return twice.select(F.col("_host").alias(host_col), F.col("_pages").alias("pages"), show("_wrapper").alias("wrapper"))
+    w = inferred(rows.select("_host", _page_stream("_page").alias("_stream")))
+    return w.select(F.col("_host").alias(host_col), F.col("_count").alias("pages"), _shown("_wrapper").alias("wrapper"))
 
 
 def clean_pages(df: DataFrame, id_col: str = "chunked_id", pages_col: str = "html_pages") -> DataFrame:

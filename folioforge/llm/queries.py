@@ -82,6 +82,10 @@ def p6_pages(spark: SparkSession, d: str) -> DataFrame:
     return markup.clean_pages(table(spark, d, "chunked_document"))
 
 
+def p6_chunk_wrappers(spark: SparkSession, d: str) -> DataFrame:
+    return markup.chunk_wrappers(table(spark, d, "chunked_document"))
+
+
 def p6_wrappers(spark: SparkSession, d: str) -> DataFrame:
     return markup.host_wrappers(table(spark, d, "chunked_document"))
 
@@ -122,6 +126,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         p1_found, p1_clean, p2_found, p2_figures, p3_found, p3_groups, p4_found, p4_sentences, p5_found, p5_pieces, p5_filings,
-        p6_found, p6_chunks, p6_pages, p6_wrappers, p7_found, p7_texts, p8_ids, p9_found, p9_clean, p10_found, p10_shares,
+        p6_found, p6_chunks, p6_pages, p6_wrappers, p6_chunk_wrappers, p7_found, p7_texts, p8_ids, p9_found, p9_clean, p10_found, p10_shares,
     )
 }

@@ -307,6 +307,29 @@ def test_long_spans_are_markup(spark):
     assert {r.chunk_no: r.text for r in markup.clean_chunks(rows).collect()} == {k: t for k, (_, _, t) in enumerate(cases)}
 
 
+def test_more_forms_are_cleaned(spark):
+    cases = {
+        r"\chapter{One} text": "# One text", "[[File:a.png|thumb|left|A caption]] x": "A caption x", "See [this][1] **now**\n[1]: http://x.y z\nend": "See this now\nend",
+        "Title\n=====\n**bold**": "# Title\nbold", "{{Infobox\n| a = 1\n}}\n'''b'''": "\nb",
+    }
+    rows = chunked(spark, [(1, "c", "a", None, list(cases), None)])
+    assert {r.chunk_no: r.text for r in markup.clean_chunks(rows).collect()} == dict(enumerate(cases.values()))
+
+
+def test_chunk_wrappers_tell_the_markup(spark):
+    odd = (2, None, "a", None, ["x <br/> y", r"\textbf{z}"], None)
+    df = chunked(spark, [(1, "c", "a", None, ["<p>one</p>", "<p>two</p><p>three</p> **b**", "plain", None], None), odd, odd])
+    got = {r.cik: (r.chunks, r.wrapper) for r in markup.chunk_wrappers(df).collect()}
+    assert got["c"][0] == 2 and "html <p>" in got["c"][1] and "(markdown **)?" in got["c"][1] and got[None][0] == 4
+    found = sorted((r.chunked_id, r.chunk_no, r.markup, tuple(r.tokens)) for r in markup.markup_residue(df).collect())
+    assert found == [
+        (1, 0, "html", ("<p>", "</p>")), (1, 1, "html", ("<p>", "</p>", "<p>", "</p>")), (1, 1, "markdown", ("**b**",)),
+        *[(2, 0, "html", ("<br/>",))] * 2, *[(2, 1, "latex", (r"\textbf",))] * 2,
+    ]
+    again = {r.cik: (r.chunks, r.wrapper) for r in markup.chunk_wrappers(df.repartition(7, "text_chunks")).collect()}
+    assert again == got
+
+
 def test_page_text_keeps_structure():
     page = '<div><!-- x --><div style="display: none">no</div><h2>Top</h2><ul><li>a</li><li>b</li></ul><table><tr><td>1</td><td>2</td></tr></table><pre>x\n  y</pre>H<sub>2</sub>O &amp; c'
     assert markup.page_text(page) == "## Top\n\n- a\n- b\n\n1 | 2\n\n```\nx\n  y\n```\nH_{2}O & c"
@@ -337,7 +360,7 @@ def test_long_wrappers_keep_their_end(spark):
     rng = random.Random(5)
     body = "".join(f"<{t}>{k}</{t}>" for k, t in enumerate(rng.choices("h1 h2 h3 p div li td th b i".split(), k=600)))
     rows = [(k, "c", "a", [f"<main>{body}</main>{more}<footer>Legal notice</footer>"], [], None) for k, more in enumerate(["", "<hr>", ""])]
-    out = markup.host_wrappers(chunked(spark, rows), hold=3000).collect()
+    out = markup.host_wrappers(chunked(spark, rows)).collect()
     assert len(out) == 1 and out[0].pages == 3
     assert out[0].wrapper.endswith('</main> (<hr>)? <footer> "legal notice" </footer>') and out[0].wrapper.count('"0"') > 300
 
