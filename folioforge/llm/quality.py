@@ -153,13 +153,15 @@ def _kind() -> Column:
 
 
 def text_kinds(
-    df: DataFrame, id_col: str = "extract_id", text_col: str = "text", min_chars: int = 80, min_rows: int = 50
+    df: DataFrame, id_col: str = "extract_id", text_col: str = "text", min_chars: int = 80, prior_rows: int = 20
 ) -> DataFrame:
     """``(<id_col>, language, <figures>, z_<figures>, kind)`` of every row.
 
     ``kind`` is ``prose``, ``list``, ``table`` or ``junk``; texts under
-    ``min_chars`` characters, null and empty ones are ``short``.  A language
-    of fewer than ``min_rows`` texts, or none, is measured against all texts.
+    ``min_chars`` characters, null and empty ones are ``short``.  A text
+    is measured against the texts of its language and all texts together; of
+    n texts of a language the first weigh n² / (n² + ``prior_rows``²), so a
+    language of few texts leans on all, without a switch.
     An empty table gives an empty result, repeated rows repeat.
 
     The sketches have one row for each of the languages named in this module,
@@ -167,10 +169,18 @@ def text_kinds(
     """
     figs = cut(text_figures(df, id_col, text_col))  # numbers only; each text is read once
     s = sketches(figs, min_chars)
-    own = s.where((F.col("_lang") != "*") & (F.col("_rows") >= min_rows)).drop("_rows")
+    own = s.where(F.col("_lang") != "*")
     pooled = s.where(F.col("_lang") == "*").select(*(F.col(f"_{k}").alias(f"_all_{k}") for k in FLOORS))
     d = figs.join(F.broadcast(own), figs["language"] == own["_lang"], "left").join(F.broadcast(pooled), F.lit(True), "left")
-    ref = {k: F.coalesce(F.col(f"_{k}"), F.col(f"_all_{k}")) for k in FLOORS}
+    # a language counts for itself the more, the more texts it has
+    rows = F.coalesce(F.col("_rows"), F.lit(0)).cast("double")
+    weight = rows * rows / (rows * rows + float(prior_rows) ** 2)
+
+    def blend(k: str, part: str) -> Column:
+        pooled = F.col(f"_all_{k}")[part]
+        return pooled + weight * (F.coalesce(F.col(f"_{k}")[part], pooled) - pooled)
+
+    ref = {k: {part: blend(k, part) for part in ("mid", "spread")} for k in FLOORS}
     names = [id_col, "language", "chars", "lines", *FLOORS]
     d = d.select(*names, *((F.col(k) - ref[k]["mid"]).alias(f"_d_{k}") for k in FLOORS), *(ref[k]["spread"].alias(f"_s_{k}") for k in FLOORS))
     d = d.select(*names, *((F.col(f"_d_{k}") / F.col(f"_s_{k}")).alias(f"z_{k}") for k in FLOORS))

@@ -16,11 +16,16 @@ RANKS = os.environ.get("FOLIOFORGE_RANKS", encode.DEFAULT_RANKS)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return repeated_lines.repeated_lines(table(spark, d, "chunked_document"))
+    # the case is stated over accession numbers
+    return repeated_lines.repeated_lines(table(spark, d, "chunked_document"), units=("documents",))
+
+
+def p1_lines(spark: SparkSession, d: str) -> DataFrame:
+    return repeated_lines.line_counts(table(spark, d, "chunked_document"))
 
 
 def p1_clean(spark: SparkSession, d: str) -> DataFrame:
-    return repeated_lines.without_repeated_lines(table(spark, d, "chunked_document"))
+    return repeated_lines.without_repeated_lines(table(spark, d, "chunked_document"), units=("documents",))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -125,7 +130,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p1_found, p1_clean, p2_found, p2_figures, p3_found, p3_groups, p4_found, p4_sentences, p5_found, p5_pieces, p5_filings,
+        p1_found, p1_lines, p1_clean, p2_found, p2_figures, p3_found, p3_groups, p4_found, p4_sentences, p5_found, p5_pieces, p5_filings,
         p6_found, p6_chunks, p6_pages, p6_wrappers, p6_chunk_wrappers, p7_found, p7_texts, p8_ids, p9_found, p9_clean, p10_found, p10_shares,
     )
 }

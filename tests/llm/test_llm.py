@@ -30,29 +30,53 @@ ODD = [
 
 # ---- repeated lines
 
+BY_DOCUMENT = {"units": ("documents",), "date_col": None}
+
 
 def test_repeated_lines_counts_clusters_not_rows(spark):
     notice = "  This  is a legal NOTICE no {} for all \t"
     rows = [(k, "c", f"a{k}", None, [notice.format(k) + f"\nown line number {chr(97 + k) * 20}", None], None) for k in range(5)]
     rows += [(9, "c", "a0", None, [notice.format(77)], None)]          # the same filing again
     rows += [(20 + k, "d", "only", None, ["this line is in one filing only"], None) for k in range(8)]
-    got = {tuple(r) for r in repeated_lines.repeated_lines(chunked(spark, rows + ODD)).collect()}
+    got = {tuple(r) for r in repeated_lines.repeated_lines(chunked(spark, rows + ODD), **BY_DOCUMENT).collect()}
     assert got == {(k, 0, 0) for k in (0, 1, 2, 3, 4, 9)}
 
 
 def test_repeated_lines_need_a_third(spark):
     rows = [(k, "c", f"a{k}", None, ["exactly this very long line" if k < 5 else f"other {k}"], None) for k in range(15)]
-    assert repeated_lines.repeated_lines(chunked(spark, rows)).count() == 5
+    assert repeated_lines.repeated_lines(chunked(spark, rows), **BY_DOCUMENT).count() == 5
     rows.append((99, "c", "a99", None, ["x"], None))
-    assert repeated_lines.repeated_lines(chunked(spark, rows)).count() == 0
+    assert repeated_lines.repeated_lines(chunked(spark, rows), **BY_DOCUMENT).count() == 0
 
 
 def test_lines_are_removed(spark):
     rows = [(k, "c", f"a{k}", None, ["the very same boilerplate\nkeep me", None, ""], None) for k in range(6)] + ODD
-    out = {r.chunked_id: (r.text_chunks, r.lines_removed) for r in repeated_lines.without_repeated_lines(chunked(spark, rows)).collect()}
+    out = {r.chunked_id: (r.text_chunks, r.lines_removed) for r in repeated_lines.without_repeated_lines(chunked(spark, rows), **BY_DOCUMENT).collect()}
     assert out[0] == (["keep me", None, ""], 1)
     assert out[1001] == (None, 0) and out[1003] == ([None, ""], 0)
-    assert repeated_lines.repeated_lines(chunked(spark, [])).count() == 0
+    assert repeated_lines.repeated_lines(chunked(spark, []), **BY_DOCUMENT).count() == 0
+
+
+def test_lines_are_removed_wherever_they_stand(spark):
+    notice = "the very same boilerplate"
+    chunks = [f"{notice}\na\n{notice}\n{notice}\nb", f"a\n{notice}", notice, f"\n{notice}\n\n"]
+    rows = [(k, "c", f"a{k}", None, chunks, None) for k in range(5)]
+    out = repeated_lines.without_repeated_lines(chunked(spark, rows), **BY_DOCUMENT).collect()
+    assert {(tuple(r.text_chunks), r.lines_removed) for r in out} == {(("a\nb", "a", "", "\n\n"), 6)}
+
+
+def test_copies_and_dates_count_once(spark):
+    """A line of five documents that are copies, or came out on one day, is no boilerplate; one of five texts on five days is."""
+    schema = "chunked_id bigint, cik string, accession_number string, text_chunks array<string>, date_filed string"
+    rows = [(k, "copied", f"a{k}", ["the text that was published again"], f"2020-01-0{k + 1}") for k in range(5)]
+    rows += [(10 + k, "one day", f"a{k}", ["the notice of a single day", "own " + chr(97 + k) * 20], "2020-01-01") for k in range(5)]
+    rows += [(20 + k, "real", f"a{k}", ["the notice of every filing", "own " + chr(97 + k) * 20], f"2020-01-0{k + 1}") for k in range(5)]
+    df = spark.createDataFrame(rows, schema)
+    assert {tuple(r) for r in repeated_lines.repeated_lines(df).collect()} == {(20 + k, 0, 0) for k in range(5)}
+    by = lambda *units: {r[0] // 10 for r in repeated_lines.repeated_lines(df, units=units).collect()}
+    assert by("documents") == {0, 1, 2} and by("clusters") == {1, 2} and by("dates") == {0, 2}
+    counts = {r.cik: (r.documents, r.clusters, r.dates) for r in repeated_lines.line_counts(df).collect()}
+    assert counts == {"copied": (5, 1, 5), "one day": (5, 5, 1), "real": (5, 5, 5)}
 
 
 # ---- figures
