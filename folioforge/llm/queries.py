@@ -16,8 +16,8 @@ RANKS = os.environ.get("FOLIOFORGE_RANKS", encode.DEFAULT_RANKS)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    # the case is stated over accession numbers
-    return repeated_lines.repeated_lines(table(spark, d, "chunked_document"), units=("documents",))
+    # clusters and dates by the method, documents as the case is stated
+    return repeated_lines.repeated_lines(table(spark, d, "chunked_document"), units=repeated_lines.UNITS)
 
 
 def p1_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -25,7 +25,7 @@ def p1_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_clean(spark: SparkSession, d: str) -> DataFrame:
-    return repeated_lines.without_repeated_lines(table(spark, d, "chunked_document"), units=("documents",))
+    return repeated_lines.without_repeated_lines(table(spark, d, "chunked_document"), units=repeated_lines.UNITS)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

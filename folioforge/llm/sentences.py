@@ -6,8 +6,12 @@ no marks the blanks.  Each place is tagged boundary or inside; the best tag
 sequence is found with Viterbi.  The weights are those of an averaged
 structured perceptron.  ``fit`` trains it on two kinds of tagged text: blocks
 in which extracted sentences have a known place, and, for languages that have
-no such sentences, blocks tagged by general writing rules (``ruled``).  In
-scripts without marks only blanks and the letters around them speak.
+no such sentences, blocks tagged by general writing rules (``ruled``).
+
+A text in a script without blanks between words that holds no such place at
+all is tagged character by character by a second chain.  That one is trained
+on text stripped of its marks and blanks (``stripped``), where only the
+characters around a place are left to tell a boundary.
 """
 
 from __future__ import annotations
@@ -52,17 +56,23 @@ MODEL_PATH = Path(__file__).with_name("sentence_model.json")
 def _spans_of_pairs(text: str) -> tuple[dict[int, int], list[tuple[int, int]]]:
     """Matched marks: closing place -> opening place, and all (open, close) in order.
 
-    A mark without a partner within its line block counts as none.
+    A mark without a partner before the next blank line counts as none.
     """
     stack: list[tuple[str, int]] = []
     closed: dict[int, int] = {}
+    blocks = [m.end() for m in re.finditer(r"\n[ \t\r]*\n", text)]
+    block = 0
     for m in _PAIRED.finditer(text):
         c, i = m.group(), m.start()
+        if block < len(blocks) and i >= blocks[block]:
+            stack.clear()
+            while block < len(blocks) and i >= blocks[block]:
+                block += 1
         if c == '"':
             at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == '"'), None)
         else:
             at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in _OPEN_OF.get(c, "")), None)
-        if at is not None and i - stack[at][1] < 1500:
+        if at is not None:
             closed[i] = stack[at][1]
             del stack[at:]
         elif c in PAIRS or c == '"':
@@ -122,18 +132,18 @@ def places(text: str) -> list[tuple[int, list[str]]]:
         reach = [c for c in reach if c >= end]
         inside = len(reach)
         gap = text[end:after]
-        following = text[after: after + 40]
-        nxt = _kind(following[:1])
+        following = text[after: after + 1]
+        nxt = _kind(following)
         if capitals and nxt == "upper":
             nxt = "capitals"  # says nothing about a beginning
         glued = "glued" if not gap and following else "apart"
-        before = _TOKEN_BEFORE.search(text, max(0, i - 30), i)
+        before = _TOKEN_BEFORE.search(text, max(0, i - 30), i)  # 30 characters of a token tell that it is long
         token = before.group() if before else ""
         word = f"#{min(len(token), 4)}" if token.isdigit() else token.lower() if len(token) <= 6 else "long"
         initial = "initial" if len(token) == 1 and token.isupper() else ""
         dotted = "dotted" if initial and i - len(token) > 0 and text[i - len(token) - 1: i - len(token)] == "." else ""
-        head = _TOKEN_AFTER.match(following)
-        first = head.group().lower() if head else following[:1]
+        head = _TOKEN_AFTER.match(text, after)
+        first = head.group().lower() if head else following
         sign = "blank" if blank else mark if len(mark) == 1 else "..." if set(mark) <= {".", "…"} else mark[-1]
         shape = f"{sign}|{nxt}|{glued}"
         feats = [
@@ -271,6 +281,46 @@ def ruled(block: str) -> list[tuple[list[list[str]], list[int]]]:
     return [([f for _, f in found], tags)] if found else []
 
 
+#: Scripts that write no blanks between words: Han, kana, Thai, Lao, Khmer.
+_DENSE = re.compile(rf"[\u3040-\u30ff\u3400-\u9fff{_UNMARKED}]")
+STRIPPED_PATH = Path(__file__).with_name("stripped_model.json")
+
+
+def character_features(text: str) -> list[list[str]]:
+    """Features of the place behind each character of a stripped text: the characters before and after it."""
+    pad = "\u0002\u0002" + text + "\u0003\u0003\u0003"
+    out = []
+    for k in range(2, len(text) + 2):
+        a, b, c, d, e = pad[k - 1], pad[k], pad[k + 1], pad[k + 2], pad[k + 3]
+        out.append([f"b{b}", f"ab{a}{b}", f"zab{pad[k - 2]}{a}{b}", f"c{c}", f"cd{c}{d}", f"cde{c}{d}{e}", f"bc{b}{c}", f"abcd{a}{b}{c}{d}"])
+    return out
+
+
+def stripped(sentences_in_order: list[str]) -> tuple[str, list[int]]:
+    """Text of sentences without their marks and blanks, and a tag for each character: 1 for the last one of a sentence."""
+    text, tags = [], []
+    for s in sentences_in_order:
+        bare = re.sub(rf"[\s{_MARKS}]+", "", s)
+        text.append(bare)
+        tags += [0] * (len(bare) - 1) + [1] if bare else []
+    return "".join(text), tags
+
+
+@cache
+def stripped_model(path: str = "") -> Chain | None:
+    file = Path(path or STRIPPED_PATH)
+    if not file.exists():
+        return None
+    d = json.loads(file.read_text(encoding="utf-8"))
+    return Chain(d["weights"], d["moves"])
+
+
+def _tagged_by_character(text: str, chain: Chain) -> list[int]:
+    """Ends of the sentences of a text without marks and blanks, but for its own end."""
+    tags = chain.tags(character_features(text))
+    return [k + 1 for k, tag in enumerate(tags[:-1]) if tag]
+
+
 def training_rows(extracts: DataFrame, max_blocks: int = 30_000) -> list[tuple[str, list[str]]]:
     """Blocks and the single sentences extracted from them; at most ``max_blocks``."""
     single = extracts.where((F.col("sentence_index") >= 0) & F.col("context_type").isin("narrative", "parenthetical")).groupBy("document_key").agg(F.collect_set("text").alias("s"))
@@ -293,6 +343,11 @@ def sentence_spans(text: str | None, chain: Chain | None = None) -> list[tuple[i
         return []
     found = places(text)
     tags = (chain or model()).tags([f for _, f in found])
+    bare = text.strip()
+    if not found and len(_DENSE.findall(bare)) * 2 > len(bare) and (second := stripped_model()):
+        first = len(text) - len(text.lstrip())
+        cuts = [0, *_tagged_by_character(bare, second), len(bare)]
+        return [(first + a, first + b, True) for a, b in zip(cuts, cuts[1:], strict=False)]
     out, start = [], 0
 
     def put(a: int, b: int, done: bool) -> None:
@@ -372,10 +427,43 @@ def fit(extracts: DataFrame, out: str, max_blocks: int = 30_000, per_language: i
     return {"places": total, "accuracy": right / max(1, total), "trained_on": sum(len(g) for _, g in own)}
 
 
+def fit_stripped(extracts: DataFrame, out: str, per_language: int = 300) -> dict[str, dict[str, float]]:
+    """Train the chain for text without marks on a bounded sample; returns held-out precision and recall by language.
+
+    The sentences come from the blocks' own marks, in Thai from the blanks,
+    which stand between sentences only; both are gone from the training text.
+    Every fifth block is held out.
+    """
+    own, held = [], defaultdict(list)
+    for k, text in enumerate(ruled_rows(extracts, per_language=per_language)):
+        dense = len(_DENSE.findall(text))
+        if dense * 2 < len(text):
+            continue
+        language = "th" if re.search(f"[{_UNMARKED}]", text) else "ja" if re.search(r"[\u3040-\u30ff]", text) else "zh"
+        bare, tags = stripped([text[a:b] for a, b, _ in sentence_spans(text)])
+        if k % 5:
+            own.append((character_features(bare), tags))
+        else:
+            held[language].append((character_features(bare), tags))
+    chain = train(own, rounds=6)
+    small = {f: w for f, w in chain.weights.items() if abs(w) >= 0.2}
+    Path(out).write_text(json.dumps({"moves": chain.moves, "weights": dict(sorted(small.items()))}, ensure_ascii=False, indent=0) + "\n", encoding="utf-8")
+    chain = Chain(small, chain.moves)
+    figures = {}
+    for language, rows in held.items():
+        guess = [(g, y) for feats, gold in rows for g, y in zip(chain.tags(feats)[:-1], gold[:-1], strict=True)]
+        right = sum(g and y for g, y in guess)
+        figures[language] = {"blocks": len(rows), "precision": right / max(1, sum(g for g, _ in guess)), "recall": right / max(1, sum(y for _, y in guess))}
+    return figures
+
+
 if __name__ == "__main__":
     import sys
 
     from pyspark.sql import SparkSession
 
     session = SparkSession.builder.getOrCreate()
-    print(fit(session.read.parquet(f"{sys.argv[1]}/extracted_text.parquet"), sys.argv[2] if len(sys.argv) > 2 else str(MODEL_PATH)))
+    rows = session.read.parquet(f"{sys.argv[1]}/extracted_text.parquet")
+    if "stripped" not in sys.argv[2:]:
+        print(fit(rows, str(MODEL_PATH)))
+    print(fit_stripped(rows, str(STRIPPED_PATH)))

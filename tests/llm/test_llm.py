@@ -232,6 +232,25 @@ def test_sentences_in_order(parts):
     assert [text[a:b] for a, b, _ in sentences.sentence_spans(text)] == parts
 
 
+def test_text_without_marks_is_tagged_by_character():
+    chain = sentences.train([(sentences.character_features(t), g) for t, g in [sentences.stripped(["当基金上升。", "风险小组按月披露。", "当基金下降。"]), sentences.stripped(["风险小组按月披露。", "当基金上升。"])] * 3])
+    text, gold = sentences.stripped(["当基金下降。", "风险小组按月披露。", "当基金上升。"])
+    assert "。" not in text and chain.tags(sentences.character_features(text)) == gold
+    # the trained chain reads text whose sentences stand without marks or blanks
+    parts = ["投资委员会逐步提高申购费用", "风险小组按月披露浮动票息"]
+    assert sentences.sentence_spans("".join(parts))[-1][1] == sum(map(len, parts))
+    assert sentences.sentence_spans("  当 ") == [(2, 3, True)]
+
+
+def test_long_quotations_stay_inside():
+    inner = "He left. She stayed. " * 200
+    text = f"The adviser wrote, “{inner}It ended.” and the fund closed. All is well."
+    assert [text[a:b] for a, b, _ in sentences.sentence_spans(text)][-1] == "All is well." and len(sentences.sentence_spans(text)) == 2
+    # an open mark ends at a blank line
+    broken = "The adviser wrote, “It is.\n\nAll is well. It is so.” The end."
+    assert [broken[a:b] for a, b, _ in sentences.sentence_spans(broken)][:2] == ["The adviser wrote, “It is.", "All is well."]
+
+
 def test_sentence_rows(spark):
     df = spark.createDataFrame(
         [(1, "One is here. Two is there.", 0), (2, None, 0), (3, "", 0), (4, " \n ", 0), (5, "no mark at the end", 0), (1, "One is here. Two is there.", 0), (6, "Long one. " * 20000, 0)],
