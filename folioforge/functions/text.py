@@ -109,9 +109,9 @@ def sentences_of(c: Column) -> Column:
     """ARRAY of the sentences of a text, stripped, without empty ones.
 
     A border lies after a sentence mark, its closing marks and white space,
-    before a capital, a digit or an opening mark.  Abbreviations keep theirs.
+    before a capital of any script, a digit or an opening mark.  Abbreviations keep theirs.
     """
     t = F.regexp_replace(text_or_empty(c), _ABBREVIATED, f"$1{KEPT}$2")
-    t = F.regexp_replace(t, r"([.!?][\"”’)\]]*)\s+([A-Z0-9\"“(])", f"$1{BORDER}$2")
+    t = F.regexp_replace(t, r"([.!?][\"”’)\]]*)\s+([\p{Lu}0-9\"“(«¿¡])", f"$1{BORDER}$2")
     t = F.replace(t, F.lit(KEPT), F.lit("."))
     return F.filter(F.transform(F.split(t, BORDER, -1), stripped), lambda s: s != "")

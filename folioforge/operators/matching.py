@@ -33,8 +33,8 @@ def name_pairs(
     Null and empty names match nothing; the threshold must exceed 0.
 
     Names are short, so the blocking keys stay few: a held name is found by
-    its first three characters among the three-character pieces of the longer
-    one.  Names whose words overlap enough share one of their rarest words:
+    the rarest of its three-character pieces among those of the longer one,
+    so a word that many names begin with is no key.  Names whose words overlap enough share one of their rarest words:
     of n words the n - ceil(threshold n) + 1 rarest are keys, so "fund" is
     none where others are left.
     """
@@ -46,8 +46,13 @@ def name_pairs(
         parts = []
         for k in (1, 2, 3):
             size = F.length(f"_{s}")
-            keyed = short.where(size == k if k < 3 else size >= k).select(s, f"_{s}", F.left(f"_{s}", F.lit(k)).alias("_key"))
             pieces = long.where(F.length(f"_{o}") >= k).select(o, f"_{o}", F.explode(_grams(F.col(f"_{o}"), k)).alias("_key"))
+            own = short.where(size == k if k < 3 else size >= k).select(s, f"_{s}", F.explode(_grams(F.col(f"_{s}"), k)).alias("_key"))
+            # of a name's pieces the one that the fewest longer names hold
+            counted = own.join(pieces.groupBy("_key").agg(F.count(F.lit(1)).alias("_in")), "_key")
+            keyed = counted.groupBy(s, f"_{s}").agg(F.min(F.struct("_in", "_key")).alias("_k"), F.count(F.lit(1)).alias("_met"))
+            # a piece that no longer name holds rules the name out
+            keyed = keyed.where(F.col("_met") == F.size(_grams(F.col(f"_{s}"), k))).select(s, f"_{s}", "_k._key")
             parts.append(keyed.join(pieces, "_key").where(F.contains(f"_{o}", f"_{s}")).select("predicted", "_predicted", "expected", "_expected"))
         return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

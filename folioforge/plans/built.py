@@ -9,16 +9,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.functions.providers import from_model
+from folioforge.functions.text import needs_sentences, sanitized
 from folioforge.operators.chunking import content_lines, proportional_sentences
 from folioforge.operators.extraction import Extractor
 from folioforge.operators.filings import bodies, filing_index, interesting, resolved
 from folioforge.operators.generic import DEFAULT_PATTERNS, GenericNames
 from folioforge.operators.html import break_stats, html_text_udf, split_documents
+from folioforge.operators.tags import MONEY, PERSON, tagged
 from folioforge.plans.catalog import (
-    _SQL_EMPTY, _SQL_FOUND, _SQL_GENERIC, _SQL_SENT, _WS, _found, _sql_chunks, _sql_context, _sql_norm, _sql_sanitized, _sql_sentences, _sql_strip, query,
+    ORACLE, _SQL_EMPTY, _SQL_FOUND, _SQL_GENERIC, _SQL_SENT, _WS, _found, _sql_chunks, _sql_context, _sql_norm, _sql_sanitized, _sql_sentences, _sql_strip, query,
 )
 from folioforge.plans.pipelines import chunked_documents, extracts_of
-from folioforge.functions.text import needs_sentences, sanitized
 from folioforge.runtime import scratch_path, table
 from folioforge.sources.documents import (
     CHUNKED, document_key, extracts_as_json, extracts_from_json, read_catalog, read_chunked, read_ciks, write_chunked, write_predictions,
@@ -300,6 +302,27 @@ def extracted_segments(spark: SparkSession, d: str) -> DataFrame:
     return units.select("document_key", "chunk_index", "sentence_index", "text", "context_type", F.array_join("entity_names_found", "; ").alias("names"), "quality_score")
 
 
+def _amounts():
+    """A model for money, loaded by the workers."""
+    import regex
+
+    return regex.compile(MONEY).findall
+
+
+def _persons():
+    import regex
+
+    title = regex.compile(r"^(?:Mr|Mrs|Ms|Dr|Prof)\.?\s+")
+    person = regex.compile(PERSON)
+    return lambda text: [title.sub("", p) for p in person.findall(text)]
+
+
+@query(ORACLE["tag_entities"])
+def tag_with_models(spark: SparkSession, d: str) -> DataFrame:
+    """The tags of all documents with persons and money from models that each worker loads once."""
+    return tagged(table(spark, d, "documents"), ["doc_id"], "text", persons=from_model("persons", _persons), money=from_model("amounts", _amounts))
+
+
 _CHANGED = sorted((DEFAULT_PATTERNS | {"kestastitane series trust", "core"}) - {"bond fund"})
 
 

@@ -86,7 +86,7 @@ _SQL_ABBREVIATED = "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS)
 
 def _sql_sentences(x: str) -> str:
     return rf"""list_filter(list_transform(string_split(replace(regexp_replace(regexp_replace({x}, '\b({_SQL_ABBREVIATED})\.(\s)', '\1' || chr(57345) || '\2', 'g'),
-    '([.!?]["”’)\]]*)\s+([A-Z0-9"“(])', '\1' || chr(57344) || '\2', 'g'), chr(57345), '.'), chr(57344)), lambda x: {_sql_strip("x")}), lambda x: x <> '')"""
+    '([.!?]["”’)\]]*)\s+([\p{{Lu}}0-9"“(«¿¡])', '\1' || chr(57344) || '\2', 'g'), chr(57345), '.'), chr(57344)), lambda x: {_sql_strip("x")}), lambda x: x <> '')"""
 
 
 def _sql_chunks(source: str, size: int = 2000) -> str:

@@ -208,6 +208,18 @@ def test_proportional_sentences(spark):
     assert got[0] == [["One is."], ["Two is.", "Three is."]] and got[1] == [["A\nB\nC"], ["B"], ["C"]] and got[2] == []
 
 
+def test_faithful_slices_and_whole_lines(spark):
+    """Long lines of one run share its sentences by length and can lose some; line by line none is lost."""
+    one = "A first sentence of some length stands here. A second one follows it. A third. A fourth one ends the line here."
+    two = "Only a single sentence stands in this line, and it is about as long as the other line is, or nearly so here."
+    df = spark.createDataFrame([(1, one + "\n" + two), (2, "aaa | bbb\n" + one), (3, None)], "id int, body string")
+    slices = {r.id: r.chunk for r in chunking.chunk_texts(df, ["id"], "body").collect()}
+    lines = {r.id: r.chunk for r in chunking.chunk_texts(df, ["id"], "body", faithful=False).collect()}
+    assert slices[1].split("\n\n") == ["A first sentence of some length stands here.", "A second one follows it.", "A third.", "A fourth one ends the line here."]
+    assert lines[1].split("\n\n") == [*slices[1].split("\n\n"), two]
+    assert slices[2] == lines[2] == "aaa | bbb\n\n" + slices[1]
+
+
 def test_table_gaps():
     gap = "a | b\n\n\n\nsome content line\n\nshort\nc | d\ntail\n\n\nend"
     assert chunking.close_table_gaps(gap) == "a | b\n\nsome content line\n\nc | d\ntail\n\n\nend"
@@ -247,6 +259,12 @@ def test_html_text():
     assert html.html_text("") == "" and html.html_text(None) == ""
 
 
+def test_lists_keep_their_layout():
+    page = '<ul><li>a<ul><li>b</li></ul></li><li><a href="t">c</a></li></ul><ol><li>x</li><li>y</li></ol>'
+    lines = [line for line in html.html_text(page).split("\n") if line]
+    assert lines == ["* a", "    * b", "  * [c](t)", "  1. x", "  2. y"] or lines == ["  * a", "    * b", "  * [c](t)", "  1. x", "  2. y"]
+
+
 def test_break_stats(spark):
     df = spark.createDataFrame([(1, "<hr><hr>"), (2, '<hr><p style="page-break-before: always">x</p>'), (3, None), (4, "")], "id int, page string")
     assert [tuple(r) for r in html.break_stats(df, "id", "page").collect()] == [("hr", 2, 3), ("page-break-before", 1, 1)]
@@ -342,6 +360,30 @@ def test_extractor_and_mentions(spark):
     assert extraction.mentions(texts, listed.limit(0), ["id"], "text").count() == 0
 
 
+def test_many_names_are_found_like_few(spark):
+    names = tuple(["Beta", "alpha", "Alpha Fund", *(f"Name {k}" for k in range(40))])
+    chunk = "The Alpha Fund pays income to name 7 today. It is small and of beta kind, so it stays."
+    df = spark.createDataFrame([("k", 0, chunk), ("k", 1, None)], "document_key string, chunk_index int, chunk string")
+    many = extraction.Extractor(names).extract(df).collect()
+    assert [(r.sentence_index, r.entity_names_found) for r in many if r.sentence_index >= 0] == [(0, ["alpha", "Alpha Fund", "Name 7"]), (1, ["Beta"])]
+    units = spark.createDataFrame([(1, chunk), (1, chunk), (2, "none"), (3, None)], "id int, text string")
+    listed = spark.createDataFrame([(n,) for n in names], "name string")
+    for most in (0, 1000):
+        assert sorted((r.id, tuple(r.names)) for r in extraction.names_of(units, listed, "text", most_names=most).collect()) == [(1, ("Alpha Fund", "Beta", "Name 7", "alpha"))] * 2
+
+
+def test_a_model_is_loaded_once_for_all_batches(spark):
+    from folioforge.functions import providers
+
+    df = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "id int, text string")
+    words = providers.from_model("words", lambda: str.split)
+    assert [r.w for r in df.select("id", words(F.col("text")).alias("w")).orderBy("id").collect()] == [["a", "b"], [], []]
+    loads = []
+    for _ in range(2):
+        providers.shared("once", lambda: loads.append(1) or str.split)
+    assert loads == [1]
+
+
 # ---- sources and streams
 
 
