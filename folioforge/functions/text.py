@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioforge.functions.binding import let
 from folioforge.functions.classes import BLANKS, WORD, WS
 
 
@@ -88,14 +89,17 @@ def is_table_row(line: Column) -> Column:
 
 def needs_sentences(line: Column) -> Column:
     """Long prose lines: not tabular, not mostly capitals or signs, with a sentence mark."""
-    t = stripped(line)
-    n = F.length(t)
-    capitals = F.length(F.regexp_replace(t, r"\P{IsUppercase}+", ""))
-    solid = F.length(F.regexp_replace(t, r"[^\p{L}\p{N}]+", ""))
-    return (
-        (n >= 50) & (F.regexp_count(t, F.lit(r"\|")) < 2) & (F.regexp_count(t, F.lit("\t")) < 2)
-        & (capitals <= n * 0.7) & (solid >= n * 0.5) & t.rlike("[.!?]")
-    )
+
+    def holds(t: Column) -> Column:
+        n = F.length(t)
+        capitals = F.length(F.regexp_replace(t, r"\P{IsUppercase}+", ""))
+        solid = F.length(F.regexp_replace(t, r"[^\p{L}\p{N}]+", ""))
+        return (
+            (n >= 50) & t.rlike("[.!?]") & (F.regexp_count(t, F.lit(r"\|")) < 2) & (F.regexp_count(t, F.lit("\t")) < 2)
+            & (capitals <= n * 0.7) & (solid >= n * 0.5)
+        )
+
+    return let(stripped(line), holds)
 
 
 #: Abbreviations that end no sentence.

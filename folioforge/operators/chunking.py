@@ -133,9 +133,9 @@ def close_table_gaps(chunk: str) -> str:
 _ROWS = "\ue002"
 
 
-def _runs_of_sentences(lines: Column, sentences: Sentences) -> Column:
+def _runs_of_sentences(lines: Column, long: Column, sentences: Sentences) -> Column:
     """ARRAY<ARRAY<STRING>>: for each run of lines between table rows, the sentences of its long prose lines, split as one text."""
-    kept = F.filter(F.transform(lines, lambda x: F.when(is_table_row(x), F.lit(_ROWS)).when(needs_sentences(x), x)), lambda x: x.isNotNull())
+    kept = F.filter(F.zip_with(lines, long, lambda x, n: F.when(is_table_row(x), F.lit(_ROWS)).when(n, x)), lambda x: x.isNotNull())
     runs = F.split(F.array_join(kept, "\n"), rf"\n?{_ROWS}(?:\n{_ROWS})*\n?", -1)
     return F.transform(runs, sentences)
 
@@ -151,8 +151,9 @@ def _dealt(lines: list[str], found: list[str]) -> dict[str, list[str]]:
     return out
 
 
-def _chunks_of(lines: list[str], rows: list[bool], long: list[bool], found: list[list[str]], size: int, faithful: bool) -> list[str]:
+def _chunks_of(lines: list[str], long: list[bool], found: list[list[str]], size: int, faithful: bool) -> list[str]:
     """One text's chunks from its lines, what each line is, and the sentences of runs (``faithful``) or lines."""
+    rows = [_row(x) for x in lines]
     batches: list[list[str]] = [[]]
     batch_of, in_rows = [], False
     for line, row, splits in zip(lines, rows, long, strict=True):
@@ -204,15 +205,17 @@ def chunk_texts(
     Arrow pass assembles the chunks; its time is linear in a text.
     """
     d = df.select(*id_cols, sanitized(F.col(text_col)).alias("_text"))
-    d = d.select(*id_cols, content_lines(F.col("_text")).alias("_lines"))
-    lines = F.col("_lines")
-    found = _runs_of_sentences(lines, sentences) if faithful else F.transform(lines, lambda x: F.when(needs_sentences(x), sentences(x)).otherwise(F.array(x)))
+    # one-element arrays, exploded: a plain column would be computed again in each place that uses it
+    d = d.select(*id_cols, F.explode_outer(F.array(content_lines(F.col("_text")))).alias("_lines"))
+    d = d.select(*id_cols, "_lines", F.explode_outer(F.array(F.transform("_lines", needs_sentences))).alias("_long"))
+    lines, long = F.col("_lines"), F.col("_long")
+    found = _runs_of_sentences(lines, long, sentences) if faithful else F.zip_with(lines, long, lambda x, n: F.when(n, sentences(x)).otherwise(F.array(x)))
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def assembled(lines: pd.Series, rows: pd.Series, long: pd.Series, found: pd.Series) -> pd.Series:
-        return pd.Series([_chunks_of(list(x), list(r), list(n), [list(s) for s in f], size, faithful) for x, r, n, f in zip(lines, rows, long, found, strict=True)], dtype=object)
+    def assembled(lines: pd.Series, long: pd.Series, found: pd.Series) -> pd.Series:
+        return pd.Series([_chunks_of(list(x), list(n), [list(s) for s in f], size, faithful) for x, n, f in zip(lines, long, found, strict=True)], dtype=object)
 
-    d = d.select(*id_cols, assembled(lines, F.transform(lines, is_table_row), F.transform(lines, needs_sentences), found).alias("_chunks"))
+    d = d.select(*id_cols, assembled(lines, long, found).alias("_chunks"))
     # the outer form: an inner one would add a test of the array's size, evaluated by inlining all steps above
     return d.select(*id_cols, F.posexplode_outer("_chunks").alias("chunk_no", "chunk")).where(F.col("chunk").isNotNull())
 
