@@ -99,13 +99,6 @@ def _least(gears: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
     return h, _sliding(np.minimum, h, span - GEAR + 1)
 
 
-def border_digests(gears: np.ndarray, span: int) -> np.ndarray:
-    """The distinct digests of a text's borders: the least hashes of its windows."""
-    if len(gears) < span:
-        return np.zeros(0, np.uint64)
-    return np.unique(_least(gears, span)[1])
-
-
 def borders(gears: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Borders of one text: (index of the last character each digest covers, digest,
     first window, window after the last), over windows of ``span`` characters;
@@ -140,25 +133,6 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
-def _border_rows(rows: DataFrame, doc_type: T.DataType, span: int) -> DataFrame:
-    schema = T.StructType([T.StructField("_doc", doc_type), T.StructField("_digest", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, digests = [], []
-            for k, text in enumerate(batch.column(1).to_pylist()):
-                d = border_digests(_gears(codes_of(text)), span)
-                at.append(np.full(len(d), k, np.int32))
-                digests.append(d)
-            if at:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(np.concatenate(at))), pa.array(_signed(np.concatenate(digests)))],
-                    names=["_doc", "_digest"],
-                )
-
-    return rows.mapInArrow(run, schema)
-
-
 #: Digests or ids that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -196,9 +170,10 @@ def shared_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     doc_type = rows.schema["_doc"].dataType
 
     in_two = F.min("_doc") != F.max("_doc")
-    shared = cut(_border_rows(rows, doc_type, span).groupBy("_digest").agg(in_two.alias("_two")).where("_two").select("_digest"))
-    contexts = cut(_contexts(rows, doc_type, span).join(_small(shared), "_digest", "left_semi"))
-    discard(shared)
+    every = cut(_contexts(rows, doc_type, span))
+    shared = cut(every.groupBy("_digest").agg(in_two.alias("_two")).where("_two").select("_digest"))
+    contexts = cut(every.join(_small(shared), "_digest", "left_semi"))
+    discard(every, shared)
 
     # one class for each digest and each text around it
     classes = contexts.groupBy("_digest", "_around").agg(F.min("_doc").alias("_lo"), F.max("_doc").alias("_hi"))
